@@ -107,31 +107,39 @@ def log_time(text: Column) -> Column:
     return F.try_to_timestamp(text, F.lit(TIME_FORMAT))
 
 
+def format_log_time(time: Column, offset: Column | str = "+0000") -> Column:
+    """Log time text of a wall-clock time at an offset; ``log_time`` reads it back."""
+    zone = F.lit(offset) if isinstance(offset, str) else offset
+    return F.concat(F.date_format(time, "dd/MMM/yyyy:HH:mm:ss "), zone)
+
+
 def format_access_line(
     ip_address: Column,
-    time: Column,
-    method: Column,
-    url: Column,
-    protocol: Column,
+    time_text: Column,
+    request: Column,
     status: Column,
     size: Column,
     referer: Column,
     user_agent: Column,
-    user: Column | None = None,
-    offset: Column | None = None,
+    user: Column | str = "-",
 ) -> Column:
     """One combined-format line from its parts; the inverse of ``line_fields``."""
-    return F.format_string(
-        '%s - %s [%s %s] "%s %s %s" %s %s "%s" "%s"',
+    who = F.lit(user) if isinstance(user, str) else user
+    return F.concat(
         ip_address,
-        F.lit("-") if user is None else user,
-        F.date_format(time, "dd/MMM/yyyy:HH:mm:ss"),
-        F.lit("+0000") if offset is None else offset,
-        method,
-        url,
-        protocol,
+        F.lit(" - "),
+        who,
+        F.lit(" ["),
+        time_text,
+        F.lit('] "'),
+        request,
+        F.lit('" '),
         status.cast("string"),
+        F.lit(" "),
         size.cast("string"),
+        F.lit(' "'),
         referer,
+        F.lit('" "'),
         user_agent,
+        F.lit('"'),
     )

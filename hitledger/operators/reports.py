@@ -6,10 +6,15 @@ needs. Distinct counts are exact.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-_ROWS = F.count(F.lit(1))
-_ADDRESSES = F.count_distinct("ip_address")
+
+def _rows() -> Column:
+    return F.count(F.lit(1))
+
+
+def _addresses() -> Column:
+    return F.count_distinct("ip_address")
 
 
 def date_range(logs: DataFrame) -> DataFrame:
@@ -26,7 +31,7 @@ def data_range_summary(logs: DataFrame) -> DataFrame:
         F.min("date").alias("earliest_date"),
         F.max("date").alias("latest_date"),
         F.count_distinct("date").alias("total_days"),
-        _ADDRESSES.alias("unique_ips"),
+        _addresses().alias("unique_ips"),
         F.avg("response_size").alias("avg_response_size"),
     )
 
@@ -43,8 +48,8 @@ def recent_daily_summary(logs: DataFrame, days: int = 300, limit: int = 20) -> D
         logs.where(F.col("date") >= first_day.scalar())
         .groupBy("date")
         .agg(
-            _ROWS.alias("total_requests"),
-            _ADDRESSES.alias("unique_ips"),
+            _rows().alias("total_requests"),
+            _addresses().alias("unique_ips"),
             F.round(F.avg("response_size"), 2).alias("avg_response_size"),
             F.count_if(F.col("status_code") >= 400).alias("error_count"),
         )
@@ -56,7 +61,7 @@ def recent_daily_summary(logs: DataFrame, days: int = 300, limit: int = 20) -> D
 def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per table with its name and number of rows."""
     counts = [
-        table.agg(_ROWS.alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+        table.agg(_rows().alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
         for name, table in tables.items()
     ]
     result = counts[0]
@@ -70,8 +75,8 @@ def daily_traffic(logs: DataFrame, since: str) -> DataFrame:
         logs.where(F.col("date") >= F.lit(since).cast("date"))
         .groupBy("date")
         .agg(
-            _ROWS.alias("requests"),
-            _ADDRESSES.alias("unique_ips"),
+            _rows().alias("requests"),
+            _addresses().alias("unique_ips"),
             F.avg("response_size").alias("avg_response_size"),
         )
         .orderBy("date")
@@ -82,7 +87,7 @@ def device_traffic(logs: DataFrame, first: str, last: str) -> DataFrame:
     return (
         logs.where(F.col("date").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
         .groupBy("device_type")
-        .agg(_ROWS.alias("requests"), _ADDRESSES.alias("unique_users"))
+        .agg(_rows().alias("requests"), _addresses().alias("unique_users"))
         .orderBy(F.desc("requests"), "device_type")
     )
 
@@ -96,7 +101,7 @@ def status_breakdown(logs: DataFrame, since: str) -> DataFrame:
     counts = (
         logs.where(F.col("date") >= F.lit(since).cast("date"))
         .groupBy("status_category", "status_code")
-        .agg(_ROWS.alias("count"))
+        .agg(_rows().alias("count"))
         .withColumn("total", F.sum("count").over(Window.partitionBy()))
     )
     hundredths = F.expr("(20000 * count + total) div (2 * total)")

@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, Observation, functions as F
 from hitledger.operators import parsing
 from hitledger.operators.enrich import enrich
 from hitledger.operators.topn import top_requests
-from hitledger.schemas import ACCESS_LOGS, TOP_TABLES
+from hitledger.schemas import ACCESS_LOGS, TOP_TABLES, TopTableSpec
 from hitledger.session import configure_session
 from hitledger.sinks import writers
-from hitledger.sinks.audit import audit_top_table, check
+from hitledger.sinks.audit import audit_top_tables, check
 from hitledger.sinks.catalog import LogDatabase
 
 
@@ -127,8 +127,8 @@ def _refresh_top_tables(
     database: LogDatabase, options: LoadOptions, days: list[date]
 ) -> dict[str, int]:
     logs = database.table(ACCESS_LOGS)
-    staged: dict[str, str] = {}
-    stored: dict[str, int] = {}
+    names: list[str] = []
+    staged: dict[TopTableSpec, DataFrame] = {}
     try:
         for spec in TOP_TABLES:
             rows = logs
@@ -137,15 +137,14 @@ def _refresh_top_tables(
                 rows = logs.where(F.col("date").isin(list(period)))
             top = top_requests(rows, spec, options.top_n, options.week_year)
             stamped = top.withColumn("processed_timestamp", F.current_timestamp())
-            staged[spec.name] = writers.stage(stamped, database, spec)
-            result = database.spark.table(database.qualified(staged[spec.name]))
-            stored[spec.name] = audit_top_table(result, spec, options.top_n)["rows"]
-        for spec in TOP_TABLES:
-            result = database.spark.table(database.qualified(staged[spec.name]))
-            writers.overwrite_partitions(result, database, spec)
+            names.append(writers.stage(stamped, database, spec))
+            staged[spec] = database.spark.table(database.qualified(names[-1]))
+        stored = audit_top_tables(staged, options.top_n)
+        for spec, rows in staged.items():
+            writers.overwrite_partitions(rows, database, spec)
         return stored
     finally:
-        for name in staged.values():
+        for name in names:
             writers.drop_staged(database, name)
 
 

@@ -9,8 +9,20 @@ from pyspark.sql import types as T
 MIB = 1024 * 1024
 
 
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+}
+
+
 def _struct(columns: str) -> T.StructType:
-    return T.StructType.fromDDL(columns)
+    """Schema from ``name type, ...``; needs no running session, unlike a DDL string."""
+    pairs = (column.split() for column in columns.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 PARSED = _struct(
@@ -19,7 +31,7 @@ PARSED = _struct(
 )
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class TableSpec:
     """A stored table. ``schema`` keeps the declared order; Spark stores partition keys last."""
 
@@ -56,7 +68,7 @@ ACCESS_LOGS = TableSpec(
 )
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class TopTableSpec(TableSpec):
     """A top-N table of ``item`` ranked inside its partition keys."""
 

@@ -13,11 +13,12 @@ class AuditError(Exception):
     """A staged write broke a rule; nothing of it was published."""
 
     def __init__(self, table: str, broken: list[str], counts: dict[str, int]):
-        self.table, self.broken, self.counts = table, broken, counts
         super().__init__(f"{table}: {'; '.join(broken)} ({counts})")
+        self.table, self.broken, self.counts = table, broken, counts
 
 
 def check(table: str, rules: dict[str, bool], counts: dict[str, int]) -> None:
+    """Raise with the faults whose rule does not hold."""
     broken = [rule for rule, holds in rules.items() if not holds]
     if broken:
         raise AuditError(table, broken, counts)
@@ -27,26 +28,35 @@ def _any_null(columns: tuple[str, ...]) -> Column:
     return reduce(Column.__or__, (F.col(name).isNull() for name in columns))
 
 
-def audit_top_table(staged: DataFrame, spec: TopTableSpec, n: int) -> dict[str, int]:
-    """Rules of a top-N table: some rows, keys set, ranks 1..n, each once per group."""
+def _top_table_counts(staged: DataFrame, spec: TopTableSpec, n: int) -> DataFrame:
     keys = spec.partition_by
-    counts = (
+    rows, rank = F.col("rows"), F.col("rank")
+    return (
         staged.groupBy(*keys, "rank")
         .agg(F.count(F.lit(1)).alias("rows"))
         .agg(
-            F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
-            F.coalesce(F.sum(F.when(_any_null(keys), F.col("rows"))), F.lit(0)).alias("null_keys"),
-            F.count_if(~F.coalesce(F.col("rank").between(1, n), F.lit(False))).alias("bad_ranks"),
-            F.count_if(F.col("rows") > 1).alias("repeated_ranks"),
+            F.coalesce(F.sum(rows), F.lit(0)).alias("rows"),
+            F.coalesce(F.sum(F.when(_any_null(keys), rows)), F.lit(0)).alias("null_keys"),
+            F.count_if(~F.coalesce(rank.between(1, n), F.lit(False))).alias("bad_ranks"),
+            F.count_if(rows > 1).alias("repeated_ranks"),
         )
-        .first()
-        .asDict()
+        .select(F.lit(spec.name).alias("table"), "*")
     )
-    rules = {
-        "no rows": counts["rows"] > 0,
-        "partition key is NULL": counts["null_keys"] == 0,
-        f"rank outside 1..{n}": counts["bad_ranks"] == 0,
-        "rank repeated in a group": counts["repeated_ranks"] == 0,
-    }
-    check(spec.name, rules, counts)
-    return counts
+
+
+def audit_top_tables(staged: dict[TopTableSpec, DataFrame], n: int) -> dict[str, int]:
+    """Check top-N tables: some rows, keys set, ranks 1..n, each rank once per group.
+
+    All tables are counted in one job, and all must pass. Returns their row counts.
+    """
+    counts = [_top_table_counts(rows, spec, n) for spec, rows in staged.items()]
+    found = {row["table"]: row.asDict() for row in reduce(DataFrame.unionByName, counts).collect()}
+    for table, count in found.items():
+        rules = {
+            "no rows": count["rows"] > 0,
+            "partition key is NULL": count["null_keys"] == 0,
+            f"rank outside 1..{n}": count["bad_ranks"] == 0,
+            "rank repeated in a group": count["repeated_ranks"] == 0,
+        }
+        check(table, rules, count)
+    return {table: count["rows"] for table, count in found.items()}
