@@ -1,0 +1,87 @@
+"""Derived columns: agents, URLs, weeks, statuses."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from hitledger.functions import derived
+
+AGENTS = [
+    ("iPad; CPU OS 14 Mobile/15E148 Safari", "Mobile", False),
+    ("iPad; U Safari", "iPad", False),
+    ("Foo Tablet 1", "Tablet", False),
+    ("Android 11; Tablet Chrome", "Android Mobile", False),
+    ("Chrome/64 Safari/537 Edge/17", "Chrome Desktop", False),
+    ("Edge/1", "Edge Desktop", False),
+    ("Opera/9.80", "Opera Desktop", False),
+    ("Googlebot/2.1", "Bot/Crawler", True),
+    ("(compatible; Googlebot/2.1) Chrome/99 Safari/537", "Chrome Desktop", True),
+    ("Yahoo! Slurp", "Other Desktop", True),
+    ("Googlebot-Mobile/2.1", "Mobile", True),
+    ("Version/14 Safari/605", "Safari Desktop", False),
+    ("Gecko Firefox/120", "Firefox Desktop", False),
+    ("CUBOT Android 9", "Android Mobile", True),
+    ("iPod; Opera", "iOS Mobile", False),
+    ("BlackBerry Mobile", "Mobile", False),
+    ("", "Unknown", False),
+    (None, "Unknown", None),
+]
+
+URLS = [
+    ("/a.b/c.png?x=1", "/a.b/c.png", "png"),
+    ("/home", "/home", ""),
+    ("/v1.0", "/v1.0", "0"),
+    ("/x.tar.gz", "/x.tar.gz", "gz"),
+    ("/x.js#f", "/x.js#f", ""),
+    ("?q", "", ""),
+    ("/x?f=a.jpg", "/x", "jpg"),
+    ("/a?b?c", "/a", ""),
+]
+
+WEEKS = [
+    (dt.date(2024, 1, 3), 1, dt.date(2024, 1, 1), dt.date(2024, 1, 7), 2024),
+    (dt.date(2024, 12, 29), 52, dt.date(2024, 12, 23), dt.date(2024, 12, 29), 2024),
+    (dt.date(2024, 12, 30), 1, dt.date(2024, 12, 30), dt.date(2025, 1, 5), 2025),
+    (dt.date(2025, 1, 1), 1, dt.date(2024, 12, 30), dt.date(2025, 1, 5), 2025),
+    (dt.date(2025, 1, 6), 2, dt.date(2025, 1, 6), dt.date(2025, 1, 12), 2025),
+    (dt.date(2027, 1, 1), 53, dt.date(2026, 12, 28), dt.date(2027, 1, 3), 2026),
+]
+
+
+def test_agents(spark):
+    df = spark.createDataFrame([(agent,) for agent, _, _ in AGENTS], "agent string")
+    lower = F.lower("agent")
+    rows = df.select("agent", derived.device_type(lower), derived.is_bot(lower)).collect()
+    assert [tuple(row) for row in rows] == AGENTS
+
+
+def test_urls(spark):
+    df = spark.createDataFrame([(url,) for url, _, _ in URLS], "url string")
+    url = F.col("url")
+    rows = df.select("url", derived.url_path(url), derived.file_extension(url)).collect()
+    assert [tuple(row) for row in rows] == URLS
+
+
+def test_weeks(spark):
+    df = spark.createDataFrame([(week[0],) for week in WEEKS], "date date")
+    date = F.col("date")
+    monday = derived.week_start(date)
+    rows = df.select(
+        "date",
+        F.weekofyear("date"),
+        monday,
+        derived.week_end(monday),
+        derived.iso_week_year(date),
+    ).collect()
+    assert [tuple(row) for row in rows] == WEEKS
+
+
+def test_statuses(spark):
+    codes = {0: "Success", 299: "Success", 300: "Redirect", 399: "Redirect",
+             400: "Client Error", 499: "Client Error", 500: "Server Error", 999: "Server Error",
+             None: "Server Error"}
+    df = spark.createDataFrame([(code,) for code in codes], "code int")
+    rows = df.select("code", derived.status_category(F.col("code"))).collect()
+    assert dict(tuple(row) for row in rows) == codes
