@@ -17,7 +17,8 @@ class LogDatabase:
     """A catalog database below one shared location.
 
     Tables have explicit locations, so a session with a fresh catalog finds the data of
-    earlier sessions again.
+    earlier sessions again: a table new to the catalog takes over the partitions that
+    are there.
     """
 
     spark: SparkSession
@@ -29,7 +30,14 @@ class LogDatabase:
         root = self.location.rstrip("/")
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.name}` LOCATION '{root}'")
         for spec in ALL_TABLES:
-            self.spark.sql(spec.create_statement(self.name, f"{root}/{spec.name}"))
+            name = self.qualified(spec.name)
+            if not self.spark.catalog.tableExists(name):
+                path = f"{root}/{spec.name}"
+                self.spark.sql(spec.create_statement(self.name, path))
+                # Writing no rows makes the directory that the recovery lists.
+                none = self.spark.createDataFrame([], spec.schema)
+                none.write.partitionBy(*spec.partition_by).mode("append").parquet(path)
+                self.spark.catalog.recoverPartitions(name)
         return self
 
     def use(self) -> None:

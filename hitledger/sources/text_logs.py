@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from datetime import date, datetime
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -28,9 +28,12 @@ def scan_lines_by_file(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_day(text: str) -> date:
     """A day given as YYYY-MM-DD."""
-    if not re.fullmatch(r"\d{4}-\d{2}-\d{2}", text, re.ASCII):
-        raise ValueError(f"Invalid date {text!r}, use YYYY-MM-DD")
-    return datetime.strptime(text, "%Y-%m-%d").date()
+    try:
+        if re.fullmatch(r"\d{4}-\d{2}-\d{2}", text, re.ASCII):
+            return date.fromisoformat(text)
+    except ValueError:
+        pass
+    raise ValueError(f"Invalid date {text!r}, use YYYY-MM-DD")
 
 
 def archive_root(path: str) -> str:

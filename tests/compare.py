@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import math
 import sys
 import time
@@ -61,6 +63,13 @@ def type_differences(df, connection, sql: str) -> list[str]:
     return [f"{n}: {ours[n]} != {theirs.get(n)}" for n in ours if ours[n] != theirs.get(n)]
 
 
+def plan(df) -> str:
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain("formatted")
+    return text.getvalue()
+
+
 def main(sf: str, names: list[str]) -> int:
     import __spark_entry__ as entry
     from tests.conftest import new_session

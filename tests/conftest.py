@@ -15,7 +15,7 @@ def new_session() -> SparkSession:
         .appName("hitledger-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
         .config("spark.checkpoint.dir", f"{scratch}/shared")

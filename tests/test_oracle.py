@@ -27,6 +27,7 @@ def test_query_agrees(spark, duck, name):
     got = compare.spark_rows(df)
     assert got == compare.duckdb_rows(duck, sql)
     assert sum(got[1].values()) > 0
+    assert "Python" not in compare.plan(df)
 
 
 def test_entry(spark):

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import contextlib
-import io
 import re
 
 import pytest
@@ -13,17 +11,11 @@ from hitledger.operators import reports, topn
 from hitledger.operators.enrich import access_logs
 from hitledger.schemas import ACCESS_LOGS, DAILY_TOP_IPS, TOP_TABLES
 from tests import compare
+from tests.compare import plan
 
 SF = compare.testdata("sf0.001")
 
 
-def plan(df) -> str:
-    text = io.StringIO()
-    with contextlib.redirect_stdout(text):
-        df.explain("formatted")
-    return text.getvalue()
-
-
 def partition_filters(text: str) -> str:
     return " ".join(re.findall(r"PartitionFilters: \[(.*)\]", text))
 
@@ -33,11 +25,6 @@ def logs(spark):
     return entry._database(spark, SF).table(ACCESS_LOGS)
 
 
-@pytest.mark.parametrize("name", entry.queries())
-def test_no_python_in_any_plan(spark, name):
-    assert "Python" not in plan(entry.queries()[name](spark, SF))
-
-
 def test_a_line_is_matched_once(spark):
     text = plan(access_logs(entry._lines(spark, SF)))
     calls = [line for line in text.splitlines() if "regexp_replace(" in line]
