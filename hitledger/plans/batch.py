@@ -94,8 +94,9 @@ def _load_access_logs(
         F.count_if(day.isNull()).alias("null_dates"),
         F.count_if(other_day).alias("other_days"),
     )
-    staged = writers.stage(enriched, database, ACCESS_LOGS)
+    staged = database.new_staging_name(ACCESS_LOGS)
     try:
+        writers.stage(enriched, database, ACCESS_LOGS, staged)
         counts = {**read.get, **kept.get}
         report = LoadReport(
             counts["lines_read"], counts["lines_parsed"], counts["rows_enriched"]
@@ -115,8 +116,10 @@ def _load_access_logs(
         rows = database.spark.table(database.qualified(staged))
         # One value per partition to be written, so no longer than the table's own listing.
         report.days = sorted(row["date"] for row in rows.select("date").distinct().collect())
-        publish = writers.append if options.mode == "append" else writers.overwrite_partitions
-        publish(rows, database, ACCESS_LOGS)
+        if options.mode == "append":
+            writers.append(rows, database, ACCESS_LOGS)
+        else:
+            writers.overwrite_partitions({ACCESS_LOGS: rows}, database)
         report.stored[ACCESS_LOGS.name] = report.rows_enriched
         return report
     finally:
@@ -127,24 +130,27 @@ def _refresh_top_tables(
     database: LogDatabase, options: LoadOptions, days: list[date]
 ) -> dict[str, int]:
     logs = database.table(ACCESS_LOGS)
-    names: list[str] = []
-    staged: dict[TopTableSpec, DataFrame] = {}
+    names = {spec: database.new_staging_name(spec) for spec in TOP_TABLES}
+
+    def stage(spec: TopTableSpec) -> None:
+        rows = logs
+        if options.refresh_touched:
+            period = days_of_weeks(days, options.week_year) if spec.weekly else days
+            rows = logs.where(F.col("date").isin(list(period)))
+        top = top_requests(rows, spec, options.top_n, options.week_year)
+        stamped = top.withColumn("processed_timestamp", F.current_timestamp())
+        writers.stage(stamped, database, spec, names[spec])
+
     try:
-        for spec in TOP_TABLES:
-            rows = logs
-            if options.refresh_touched:
-                period = days_of_weeks(days, options.week_year) if spec.weekly else days
-                rows = logs.where(F.col("date").isin(list(period)))
-            top = top_requests(rows, spec, options.top_n, options.week_year)
-            stamped = top.withColumn("processed_timestamp", F.current_timestamp())
-            names.append(writers.stage(stamped, database, spec))
-            staged[spec] = database.spark.table(database.qualified(names[-1]))
+        writers.at_once(stage, TOP_TABLES)
+        staged = {
+            spec: database.spark.table(database.qualified(name)) for spec, name in names.items()
+        }
         stored = audit_top_tables(staged, options.top_n)
-        for spec, rows in staged.items():
-            writers.overwrite_partitions(rows, database, spec)
+        writers.overwrite_partitions(staged, database)
         return stored
     finally:
-        for name in names:
+        for name in names.values():
             writers.drop_staged(database, name)
 
 

@@ -13,6 +13,8 @@ from pyspark.sql import SparkSession
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
+    # The default timestamp type of parquet files has no statistics to skip data by.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
 

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import AbstractContextManager
+from typing import TypeVar
+
 from pyspark.sql import DataFrame
 
 from hitledger.schemas import TableSpec
@@ -10,7 +15,8 @@ from hitledger.sinks.catalog import LogDatabase
 
 # Rows take about this many times more bytes in a shuffle than in a snappy parquet file.
 SHUFFLE_BYTES_PER_FILE_BYTE = 3
-_TIMESTAMPS_WITH_STATISTICS = {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS"}
+
+Item = TypeVar("Item")
 
 
 def _gathered(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -26,44 +32,54 @@ def _gathered(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.select(*others, *keys).hint("rebalance", *keys).sortWithinPartitions(*order)
 
 
-def _insert(df: DataFrame, database: LogDatabase, spec: TableSpec, overwrite: bool) -> None:
+def _insert_settings(
+    database: LogDatabase, specs: Iterable[TableSpec]
+) -> AbstractContextManager[None]:
+    file_bytes = max(spec.target_file_bytes for spec in specs)
     settings = {
-        **_TIMESTAMPS_WITH_STATISTICS,
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(
-            spec.target_file_bytes * SHUFFLE_BYTES_PER_FILE_BYTE
+            file_bytes * SHUFFLE_BYTES_PER_FILE_BYTE
         ),
     }
-    with scoped_conf(database.spark, settings):
-        _gathered(df, spec).write.insertInto(database.qualified(spec.name), overwrite=overwrite)
+    return scoped_conf(database.spark, settings)
+
+
+def _insert(df: DataFrame, database: LogDatabase, spec: TableSpec, overwrite: bool) -> None:
+    _gathered(df, spec).write.insertInto(database.qualified(spec.name), overwrite=overwrite)
+
+
+def at_once(task: Callable[[Item], None], items: Iterable[Item]) -> None:
+    """Run independent Spark jobs together, so that small ones fill each other's gaps."""
+    items = list(items)
+    with ThreadPoolExecutor(len(items)) as pool:
+        list(pool.map(task, items))
 
 
 def append(df: DataFrame, database: LogDatabase, spec: TableSpec) -> None:
     """Add rows; columns are matched by name."""
-    _insert(df, database, spec, overwrite=False)
+    with _insert_settings(database, [spec]):
+        _insert(df, database, spec, overwrite=False)
 
 
-def overwrite_partitions(df: DataFrame, database: LogDatabase, spec: TableSpec) -> None:
-    """Replace the partitions that occur in ``df`` and leave all others alone.
+def overwrite_partitions(results: dict[TableSpec, DataFrame], database: LogDatabase) -> None:
+    """In each table replace the partitions that occur in its rows, and leave the others.
 
     Each partition is replaced on its own: plain parquet has no transaction over several,
     so a reader may see some new and some old ones while the job commits.
     """
-    _insert(df, database, spec, overwrite=True)
+    with _insert_settings(database, results):
+        at_once(lambda spec: _insert(results[spec], database, spec, overwrite=True), results)
 
 
-def stage(df: DataFrame, database: LogDatabase, spec: TableSpec) -> str:
-    """Write ``df`` unpartitioned next to the tables and return the staging table's name.
+def stage(df: DataFrame, database: LogDatabase, spec: TableSpec, name: str) -> None:
+    """Write ``df`` unpartitioned into a new table ``name`` of the database.
 
     The write adds no shuffle. What it stores is the cut in the lineage: losing an
     executor later re-reads parquet, which splits, instead of gzip text, which does not.
     """
-    name = database.new_staging_name(spec)
-    with scoped_conf(database.spark, _TIMESTAMPS_WITH_STATISTICS):
-        df.select(*spec.columns).write.format("parquet").option(
-            "compression", "snappy"
-        ).saveAsTable(database.qualified(name))
-    return name
+    rows = df.select(*spec.columns).write.format("parquet").option("compression", "snappy")
+    rows.saveAsTable(database.qualified(name))
 
 
 def drop_staged(database: LogDatabase, name: str) -> None:

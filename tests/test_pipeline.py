@@ -198,7 +198,9 @@ def test_overwrite_partitions_of_a_weekly_table(spark, database):
         return (dt.date(2025, 1, 6), dt.date(2025, 1, 12), 2025, number, ip, count, 1, None)
     ddl = ",".join(f"`{f.name}` {f.dataType.simpleString()}" for f in WEEKLY_TOP_IPS.schema)
     for rows in ([week(2, "a", 1), week(3, "b", 1)], [week(2, "c", 2)]):
-        writers.overwrite_partitions(spark.createDataFrame(rows, ddl), database, WEEKLY_TOP_IPS)
+        writers.overwrite_partitions(
+            {WEEKLY_TOP_IPS: spark.createDataFrame(rows, ddl)}, database
+        )
     assert [(row[3], row[4]) for row in rows_of(database, WEEKLY_TOP_IPS)] == [(2, "c"), (3, "b")]
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
 
