@@ -23,6 +23,9 @@ def arguments() -> argparse.ArgumentParser:
     parser.add_argument("--database", default=DEFAULT_DATABASE)
     parser.add_argument("--process-date", help="load only this day's directory (YYYY-MM-DD)")
     parser.add_argument("--hive-layout", action="store_true", help="days are year=/month=/day=")
+    parser.add_argument(
+        "--spread-lines", action="store_true", help="deal lines out evenly: few, large files"
+    )
     parser.add_argument("--mode", choices=("append", "replace"), default="append")
     parser.add_argument("--refresh", choices=("touched", "all"))
     parser.add_argument("--week-year", choices=("calendar", "iso"), default="calendar")
@@ -64,7 +67,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = configure_session(SparkSession.builder.appName(args.app_name).getOrCreate())
     try:
         database = LogDatabase(spark, args.warehouse, args.database)
-        report = run(text_logs.scan_lines(spark, path), database, options)
+        report = run(text_logs.scan_lines(spark, path, args.spread_lines), database, options)
         print_summary(database, report)
     finally:
         spark.stop()

@@ -11,13 +11,16 @@ LOG_FILES = "*.log.gz"
 DAY_KEYS = ("year", "month", "day")
 
 
-def scan_lines(spark: SparkSession, path: str) -> DataFrame:
+def scan_lines(spark: SparkSession, path: str, spread: bool = False) -> DataFrame:
     """One row per line of the files that match ``path``, split at line feeds only.
 
     Gzip is recognised by the file name. A gzip file is read by one task, so the file
-    count of the archive bounds how wide the scan can be.
+    count of the archive bounds how wide the scan can be. When a few files hold most of
+    the lines, ``spread`` deals the raw lines out evenly before anything is parsed; it
+    shuffles the text, so it is not the default.
     """
-    return spark.read.option("lineSep", "\n").text(path).select("value")
+    lines = spark.read.option("lineSep", "\n").text(path).select("value")
+    return lines.hint("rebalance") if spread else lines
 
 
 def scan_lines_by_file(spark: SparkSession, path: str) -> DataFrame:
@@ -59,18 +62,20 @@ def day_path(path: str, day: date, hive_layout: bool = False) -> str:
 
 
 def scan_one_day(
-    spark: SparkSession, path: str, day: date, hive_layout: bool = False
+    spark: SparkSession, path: str, day: date, hive_layout: bool = False, spread: bool = False
 ) -> DataFrame:
     """Lines of one day's directory only."""
-    return scan_lines(spark, day_path(path, day, hive_layout))
+    return scan_lines(spark, day_path(path, day, hive_layout), spread)
 
 
-def export_lines(lines: DataFrame, day: str, path: str) -> None:
+def export_lines(lines: DataFrame, day: str, path: str, lines_per_file: int = 500_000) -> None:
     """Write ``value`` as gzip text, one directory per value of the date column ``day``.
 
-    Rows are gathered by day, and a day too large for one task is divided, so every day
-    gets as many files as it needs and no more.
+    Rows are gathered by day, and a day too large for one task is divided. No file gets
+    more than ``lines_per_file`` lines, because whoever reads it does so in one task.
     """
+    if lines_per_file < 1:
+        raise ValueError(f"lines_per_file must be at least 1, not {lines_per_file}")
     keys = {
         "year": F.date_format(day, "yyyy"),
         "month": F.date_format(day, "MM"),
@@ -82,5 +87,6 @@ def export_lines(lines: DataFrame, day: str, path: str) -> None:
         .write.partitionBy(*DAY_KEYS)
         .option("compression", "gzip")
         .option("lineSep", "\n")
+        .option("maxRecordsPerFile", lines_per_file)
         .text(path)
     )

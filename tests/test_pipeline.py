@@ -278,6 +278,26 @@ def test_export_and_scan_round_trip(spark, tmp_path):
     assert sorted(row.value for row in day.collect()) == ["", 'x "y" z']
 
 
+def test_export_bounds_the_lines_of_a_file(spark, tmp_path):
+    lines = spark.range(1000).select(
+        F.lit(dt.date(2025, 1, 5)).alias("day"), F.col("id").cast("string").alias("value")
+    )
+    path = f"{tmp_path}/out"
+    text_logs.export_lines(lines, "day", path, lines_per_file=300)
+    assert len(list(Path(path).glob("*/*/*/*.gz"))) >= 4
+    for spread in (False, True):
+        got = text_logs.scan_lines(spark, f"{path}/*/*/*/*.gz", spread)
+        assert sorted(int(row.value) for row in got.collect()) == list(range(1000))
+    with pytest.raises(ValueError):
+        text_logs.export_lines(lines, "day", path, lines_per_file=0)
+
+
+def test_spread_lines_load_the_same(spark, database, archive):
+    report = batch.run(text_logs.scan_lines(spark, archive, spread=True), database)
+    assert (report.lines_read, report.lines_parsed, report.rows_enriched) == (4, 3, 3)
+    assert len(rows_of(database, ACCESS_LOGS)) == 3
+
+
 def test_command_line(spark, archive, tmp_path, capsys, monkeypatch):
     assert cli.main(["--input-path", archive, "--warehouse", "/none",
                      "--process-date", "2025-13-01"]) == 1
@@ -285,7 +305,8 @@ def test_command_line(spark, archive, tmp_path, capsys, monkeypatch):
     monkeypatch.setattr(type(spark), "stop", lambda self: None)
     name = f"cli_{uuid.uuid4().hex}"
     code = cli.main(["--input-path", archive, "--warehouse", f"{tmp_path}/tables",
-                     "--database", name, "--process-date", "2025-01-06"])
+                     "--database", name, "--process-date", "2025-01-06",
+                     "--spread-lines"])
     assert code == 0
     shown = capsys.readouterr().out
     assert "lines read 2, parsed 1" in shown and "daily_top_devices" in shown

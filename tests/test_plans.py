@@ -64,3 +64,9 @@ def test_recent_days_prune_by_a_subquery(logs):
     text = plan(reports.recent_daily_summary(logs))
     assert "Subquery" in partition_filters(text) or "subquery" in partition_filters(text)
     assert "TakeOrderedAndProject" in text
+
+
+def test_whole_table_summary_copies_no_rows(logs):
+    text = plan(reports.data_range_summary(logs))
+    assert "Expand" not in text
+    assert text.count("ReadSchema: struct<>") >= 1
