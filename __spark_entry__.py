@@ -10,7 +10,9 @@ from __future__ import annotations
 import sys
 import uuid
 from collections.abc import Callable
+from functools import wraps
 from pathlib import Path
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -41,11 +43,30 @@ LAST = "2025-01-31"
 FIRST_HOUR, LAST_HOUR = 10, 12
 
 
+Made = TypeVar("Made")
+
+
+def _once(make: Callable[[SparkSession, str], Made]) -> Callable[[SparkSession, str], Made]:
+    """Make something once per application and data set."""
+    made: dict[tuple[str, str], Made] = {}
+
+    @wraps(make)
+    def get(spark: SparkSession, sf_dir: str) -> Made:
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in made:
+            made[key] = make(spark, sf_dir)
+        return made[key]
+
+    return get
+
+
+@_once
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure_session(spark)
     return event_lines(spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
+@_once
 def _logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Enriched rows; the load time is left out because it differs from run to run."""
     return _comparable(access_logs(_lines(spark, sf_dir)))
@@ -59,31 +80,23 @@ def _comparable(df: DataFrame) -> DataFrame:
     return df
 
 
-_archives: dict[tuple[str, str], str] = {}
-_databases: dict[tuple[str, str], LogDatabase] = {}
-
-
+@_once
 def _archive(spark: SparkSession, sf_dir: str) -> str:
-    """Glob of a gzip text archive of the lines, written once per session and data set."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _archives:
-        root = f"{scratch_dir(spark)}/hitledger-{uuid.uuid4().hex}/archive"
-        text_logs.export_lines(_lines(spark, sf_dir), "log_day", root)
-        _archives[key] = f"{root}/*/*/*/*.gz"
-    return _archives[key]
+    """Glob of a gzip text archive of the lines."""
+    root = f"{scratch_dir(spark)}/hitledger-{uuid.uuid4().hex}/archive"
+    text_logs.export_lines(_lines(spark, sf_dir), "log_day", root)
+    return f"{root}/*/*/*/*.gz"
 
 
+@_once
 def _database(spark: SparkSession, sf_dir: str) -> LogDatabase:
-    """The five tables loaded from the archive, once per session and data set."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _databases:
-        run_id = uuid.uuid4().hex
-        lines = text_logs.scan_lines(spark, _archive(spark, sf_dir))
-        location = f"{scratch_dir(spark)}/hitledger-{run_id}/warehouse"
-        database = LogDatabase(spark, location, f"hitledger_{run_id}")
-        batch.run(lines, database)
-        _databases[key] = database
-    return _databases[key]
+    """The five tables, loaded from the archive by the batch load."""
+    run_id = uuid.uuid4().hex
+    lines = text_logs.scan_lines(spark, _archive(spark, sf_dir))
+    location = f"{scratch_dir(spark)}/hitledger-{run_id}/warehouse"
+    database = LogDatabase(spark, location, f"hitledger_{run_id}")
+    batch.run(lines, database)
+    return database
 
 
 def _stored(spark: SparkSession, sf_dir: str, spec: TableSpec) -> DataFrame:

@@ -153,8 +153,3 @@ def hour_slice(logs: DataFrame, day: str, first_hour: int, last_hour: int) -> Da
         (F.col("date") == F.lit(day).cast("date"))
         & F.col("hour").between(first_hour, last_hour)
     )
-
-
-def weekly_ranking(top: DataFrame) -> DataFrame:
-    """A weekly top-N table in order of time and rank."""
-    return top.orderBy("year", "week_of_year", "rank")

@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 # Partition counts, memory and file system settings stay with the caller.
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.timestampType": "TIMESTAMP_LTZ",
     "spark.sql.adaptive.enabled": "true",
     # The default timestamp type of parquet files has no statistics to skip data by.
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",

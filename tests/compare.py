@@ -83,11 +83,16 @@ def main(sf: str, names: list[str]) -> int:
         df = queries[name](spark, testdata(sf))
         got = spark_rows(df)
         seconds = time.time() - start
+        start = time.time()
         want = duckdb_rows(connection, oracle[name])
+        duckdb_seconds = time.time() - start
         types = type_differences(df, connection, oracle[name])
         same = got == want and not types
         bad += not same
-        print(f"{'ok ' if same else 'BAD'} {name:26s} {sum(got[1].values()):7d} rows {seconds:6.2f}s")
+        print(
+            f"{'ok ' if same else 'BAD'} {name:26s} {sum(got[1].values()):7d} rows"
+            f" {seconds:6.2f}s, DuckDB {duckdb_seconds:6.2f}s"
+        )
         if not same:
             print("   ", got[0], want[0], types)
             print("    only Spark ", list((got[1] - want[1]).items())[:3])
