@@ -35,6 +35,12 @@ from hitledger.sources import text_logs  # noqa: E402
 from hitledger.sources.event_lines import event_lines  # noqa: E402
 from oracle import access_log_sql  # noqa: E402
 
+try:  # the text operators and their pipeline are optional
+    import corpus_pipeline  # noqa: E402
+    from hitledger.llm import registry as llm  # noqa: E402
+except ImportError:
+    corpus_pipeline = llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 DAY = "2025-01-05"
@@ -161,7 +167,7 @@ def entry(spark: SparkSession) -> DataFrame:
     return topn.top_requests(_logs(spark, "/root/testdata/sf0.001"), DAILY_TOP_IPS)
 
 
-def queries() -> dict[str, Query]:
+def access_log_queries() -> dict[str, Query]:
     named: dict[str, Query] = {
         "format_lines": _lines,
         "scan_lines": _scan_lines,
@@ -219,5 +225,18 @@ def queries() -> dict[str, Query]:
     return named
 
 
+def queries() -> dict[str, Query]:
+    named = access_log_queries()
+    if llm is not None:
+        named.update(llm.queries())
+        named["pipeline"] = corpus_pipeline.run
+    return named
+
+
 def oracle_sql() -> dict[str, str]:
-    return access_log_sql.statements(DAY, SINCE, LAST)
+    statements = access_log_sql.statements(DAY, SINCE, LAST)
+    if llm is not None:
+        statements.update(llm.oracle_sql())
+        if corpus_pipeline.ORACLE_SQL:
+            statements["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return statements
