@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hitledger.llm import pieces, sharding, topk
+from hitledger.llm import neardup, pieces, sharding, topk
 from hitledger.llm.sql import SHARDING_SQL, TOP_K_SQL
 from hitledger.llm.tables import read_table
 
@@ -21,6 +21,11 @@ def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op6_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    return neardup.near_duplicates(documents, words=3, similarity="0.85")
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     return sharding.shard_records(documents, [1.0] * SHARDS, [1.0] * (SHARDS + 1))
@@ -34,6 +39,7 @@ def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op2_topk": op2_topk,
+        "op6_neardup": op6_neardup,
         "op8_sharding": op8_sharding,
         "op9_pieces": op9_pieces,
     }
