@@ -7,9 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hitledger.llm import neardup, pieces, sharding, topk
+from hitledger.llm import langid, neardup, pieces, sharding, topk
 from hitledger.llm.sql import SHARDING_SQL, TOP_K_SQL
-from hitledger.llm.tables import read_table
+from hitledger.llm.tables import fold_of, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,15 @@ def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold_of(F.col("doc_id"), 4) == 2
+    documents = read_table(spark, sf_dir, "documents")
+    model = langid.train(documents, ~held_out)
+    return langid.identify(documents, model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected"
+    )
+
+
 def op6_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     return neardup.near_duplicates(documents, words=3, similarity="0.85")
@@ -39,6 +48,7 @@ def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op2_topk": op2_topk,
+        "op4_langid": op4_langid,
         "op6_neardup": op6_neardup,
         "op8_sharding": op8_sharding,
         "op9_pieces": op9_pieces,
