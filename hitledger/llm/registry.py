@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hitledger.llm import langid, neardup, pieces, sharding, topk
+from hitledger.llm import langid, neardup, pieces, quality, sharding, tokencounts, topk
 from hitledger.llm.sql import SHARDING_SQL, TOP_K_SQL
 from hitledger.llm.tables import fold_of, read_table
 
@@ -15,6 +15,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 SHARDS = 16
 PIECE_MODEL = "piece_bpe_32k.model"
+BYTE_RANKS = "byte_bpe_50k.tiktoken"
 
 
 def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +31,14 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold_of(F.col("doc_id"), 5) == 0
+    documents = read_table(spark, sf_dir, "documents")
+    labels = read_table(spark, sf_dir, "labels")
+    scored = quality.score_quality(documents, labels, ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op6_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     return neardup.near_duplicates(documents, words=3, similarity="0.85")
@@ -45,13 +54,23 @@ def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(documents, public_tokenizers.path(PIECE_MODEL))
 
 
+def op10_tokencounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencounts.count_section_tokens(
+        read_table(spark, sf_dir, "documents"),
+        public_tokenizers.path(BYTE_RANKS),
+        public_tokenizers.PATTERN,
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_topk": op2_topk,
         "op4_langid": op4_langid,
+        "op5_quality": op5_quality,
         "op6_neardup": op6_neardup,
         "op8_sharding": op8_sharding,
         "op9_pieces": op9_pieces,
+        "op10_tokencounts": op10_tokencounts,
     }
 
 
