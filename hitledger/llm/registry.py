@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hitledger.llm import langid, neardup, pieces, quality, sharding, tokencounts, topk
+from hitledger.llm import decontaminate, langid, neardup, pieces, quality, sharding, tokencounts, topk
 from hitledger.llm.sql import SHARDING_SQL, TOP_K_SQL
 from hitledger.llm.tables import fold_of, read_table
 
@@ -44,6 +44,12 @@ def op6_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(documents, words=3, similarity="0.85")
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    benchmark = read_table(spark, sf_dir, "benchmark")
+    return decontaminate.findings(documents, benchmark)
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     return sharding.shard_records(documents, [1.0] * SHARDS, [1.0] * (SHARDS + 1))
@@ -68,6 +74,7 @@ def queries() -> dict[str, Query]:
         "op4_langid": op4_langid,
         "op5_quality": op5_quality,
         "op6_neardup": op6_neardup,
+        "op7_decontaminate": op7_decontaminate,
         "op8_sharding": op8_sharding,
         "op9_pieces": op9_pieces,
         "op10_tokencounts": op10_tokencounts,
