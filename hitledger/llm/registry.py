@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hitledger.llm import decontaminate, langid, neardup, pieces, quality, sharding, tokencounts, topk
+from hitledger.llm import decontaminate, langid, neardup, pieces, pii, quality, sharding, tokencounts, topk
 from hitledger.llm.sql import SHARDING_SQL, TOP_K_SQL
 from hitledger.llm.tables import fold_of, read_table
 
@@ -22,6 +22,10 @@ def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(read_table(spark, sf_dir, "documents"))
+
+
 def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = fold_of(F.col("doc_id"), 4) == 2
     documents = read_table(spark, sf_dir, "documents")
@@ -71,6 +75,7 @@ def op10_tokencounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op2_topk": op2_topk,
+        "op3_pii": op3_pii,
         "op4_langid": op4_langid,
         "op5_quality": op5_quality,
         "op6_neardup": op6_neardup,
