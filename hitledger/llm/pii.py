@@ -25,6 +25,7 @@ from functools import partial
 
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
+from hitledger.llm.matches import located
 from hitledger.llm.tables import stored, text_or_empty
 from hitledger.operators.parsing import compute_once
 
@@ -47,26 +48,18 @@ WIDE = {
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
 }
 KINDS = [*BASE, *WIDE]
-#: A text without these holds no match of the kind; looking for them is cheaper.
-_NEEDS = {"email": "@", "phone": "+"}
-_NEEDS_PATTERN = {
-    "ip": r"[0-9]\.[0-9]", "card": r"[0-9][ -]?[0-9]",
+#: A text that matches none of these holds no match of the kind.
+NEEDS = {
+    "email": "@", "phone": r"\+[0-9]", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][ -]?[0-9]",
     "email_spelled": r"[\[(]at[\])]", "phone_local": r"[0-9][ .-][0-9]{3}|\) ?[0-9]{3}",
     "national_id": r"[0-9]-[0-9]{2}-[0-9]", "iban": r"[A-Z]{2}[0-9]{2}[A-Z0-9 ]{12}",
 }
 
-#: Characters before a match that the context labelers see.
-TAIL = 40
-#: Matches whose positions are summed up together.
-SUM_BLOCK = 256
 _FOR_WORDS = "mail contact call phone tel fax mobile cell card visa iban account ssn address reach".split()
 _AGAINST_WORDS = "version release isbn page section chapter figure invoice part model serial".split()
 _RESERVED = r"^(?:0|10|127|255)\.|^192\.168\.|^169\.254\.|@(?:localhost|invalid|test)\b"
 _KNOWN = r"(?i)@(?:[a-z0-9-]+\.)*(?:mail|gmail|yahoo|hotmail|outlook|icloud)|^\+(?:1|33|34|44|49)\b"
 
-PAIRS = "array<struct<gap:int,size:int,match:string,tail:string>>"
-SPANS = "array<struct<start:int,end:int,match:string,tail:string>>"
-
 LABELERS = ("rule", "length", "gazetteer", "context", "repeats")
 EM_STEPS = 100
 NEWTON_STEPS = 20
@@ -77,91 +70,9 @@ CARD_CANDIDATE = 8
 ACCEPT = 0.5
 
 
-def _pairs(text: Column, kind: str, pattern: str) -> Column:
-    """Matches with the length of the text between them and its last characters."""
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    pairs = F.zip_with(
-        F.slice(gaps, 1, F.greatest(F.size(gaps) - 1, F.lit(0))),
-        matches,
-        lambda gap, match: F.struct(
-            F.length(gap).alias("gap"),
-            F.length(match).alias("size"),
-            match.alias("match"),
-            F.right(gap, F.lit(TAIL)).alias("tail"),
-        ),
-    )
-    if kind in _NEEDS:
-        needed = F.contains(text, F.lit(_NEEDS[kind]))
-    else:
-        needed = text.rlike(_NEEDS_PATTERN[kind])
-    return F.when(needed, pairs).otherwise(F.array()).cast(PAIRS)
-
-
-def _block(pairs: Column, block: Column) -> Column:
-    return F.slice(pairs, block * SUM_BLOCK + 1, F.lit(SUM_BLOCK))
-
-
-def _spans(pairs: Column, blocks: Column, before: Column) -> Column:
-    """Positions of matches, block by block, so that work stays near linear in their number."""
-
-    def place(block: Column) -> Column:
-        start = F.struct(
-            F.element_at(before, block + 1).alias("at"), F.array().cast(SPANS).alias("out")
-        )
-
-        def add(done: Column, pair: Column) -> Column:
-            first = done["at"] + pair["gap"]
-            last = first + pair["size"]
-            span = F.struct(
-                first.alias("start"), last.alias("end"), pair["match"].alias("match"), pair["tail"].alias("tail")
-            )
-            return F.struct(last.alias("at"), F.concat(done["out"], F.array(span)).alias("out"))
-
-        return F.aggregate(_block(pairs, block), start, add, lambda done: done["out"])
-
-    return F.flatten(F.transform(blocks, place))
-
-
-def located(rows: DataFrame, text: Column, keep: Sequence[Column]) -> DataFrame:
-    """keep, and for each kind the positions of its pattern's matches.
-
-    Each pattern runs once per text to match and once to split; the columns in between are
-    generated, so that Spark evaluates none of them twice.
-    """
-    patterns = BASE | WIDE
-    df = rows.select(*keep, text.alias("_text"))
-    raw = F.struct(*[_pairs(F.col("_text"), kind, p).alias(kind) for kind, p in patterns.items()])
-    df = compute_once(df, "_pairs", raw).drop("_text")
-
-    def blocks(kind: str) -> Column:
-        last = F.greatest(F.size(F.col("_pairs")[kind]) - 1, F.lit(0))
-        return F.sequence(F.lit(0), F.floor(last / SUM_BLOCK).cast("int"))
-
-    def length(kind: str, block: Column) -> Column:
-        part = _block(F.col("_pairs")[kind], block)
-        return F.aggregate(part, F.lit(0), lambda total, pair: total + pair["gap"] + pair["size"])
-
-    sums = F.struct(
-        *[F.transform(blocks(kind), partial(length, kind)).alias(kind) for kind in patterns]
-    )
-    df = compute_once(df, "_sums", sums)
-    before = F.struct(
-        *[
-            F.aggregate(
-                F.col("_sums")[kind],
-                F.array(F.lit(0)),
-                lambda done, x: F.concat(done, F.array(F.element_at(done, -1) + x)),
-            ).alias(kind)
-            for kind in patterns
-        ]
-    )
-    df = compute_once(df, "_before", before)
-    spans = [
-        _spans(F.col("_pairs")[kind], blocks(kind), F.col("_before")[kind]).alias(kind) for kind in patterns
-    ]
-    names = [name for name in df.columns if not name.startswith("_")]
-    return df.select(*names, *spans)
+def candidates(rows: DataFrame, text: Column, keep: Sequence[Column]) -> DataFrame:
+    """keep, and the matches of every kind of pattern."""
+    return located(rows, text, keep, BASE | WIDE, NEEDS)
 
 
 def _digits(match: Column) -> Column:
@@ -315,18 +226,18 @@ def _candidate(kind: str, span: Column) -> Column:
 
 
 def train(found: DataFrame) -> SpanModel:
-    """Model from the candidates of all rows of ``located``."""
-    candidates = found.select(
+    """Model from the candidates of all rows of ``candidates``."""
+    each = found.select(
         F.explode(
-            F.concat(*[F.transform(kind, partial(_candidate, kind)) for kind in KINDS])
+            F.concat(*[F.transform(F.col("found")[kind], partial(_candidate, kind)) for kind in KINDS])
         ).alias("c")
     ).select("c.*")
     kind, match, tail = F.col("kind"), F.col("match"), F.col("tail")
     # runs of a few digits are everywhere and would only teach that they are no cards
-    candidates = candidates.where((kind != "card") | (F.length(_digits(match)) >= CARD_CANDIDATE))
+    each = each.where((kind != "card") | (F.length(_digits(match)) >= CARD_CANDIDATE))
     voted = votes(kind, match, tail)
     table: list[Row] = (
-        candidates.select(
+        each.select(
             F.array(*[voted[name] for name in LABELERS]).alias("votes"),
             F.array(*features(kind, match, tail)).alias("features"),
         )
@@ -365,14 +276,14 @@ def _placed(spans: Column, kind: str) -> Column:
 
 
 def decided(found: DataFrame, model: SpanModel) -> DataFrame:
-    """``located`` rows with arrays base and added of (start, kind, end) instead of matches."""
-    kept = {kind: F.filter(kind, partial(_passes, kind)) for kind in BASE}
-    names = [name for name in found.columns if name not in KINDS]
+    """``candidates`` rows with arrays base and added of (start, kind, end) instead of matches."""
+    kept = {kind: F.filter(F.col("found")[kind], partial(_passes, kind)) for kind in BASE}
+    names = [name for name in found.columns if name != "found"]
     base = compute_once(
         found, "base", F.concat(*[_placed(spans, kind) for kind, spans in kept.items()])
     )
     more = F.concat(
-        *[_placed(F.filter(kind, partial(model.accepts_span, kind)), kind) for kind in WIDE]
+        *[_placed(F.filter(F.col("found")[kind], partial(model.accepts_span, kind)), kind) for kind in WIDE]
     )
     both = compute_once(base, "more", more)
     apart = F.filter(
@@ -384,7 +295,7 @@ def decided(found: DataFrame, model: SpanModel) -> DataFrame:
 
 def find_personal_data(rows: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Key, counts of the base kinds, base_sha256, spans and n_added of every row's whole text."""
-    found = stored(located(rows, text_or_empty(F.col(text)), [F.col(key)]), "candidates")
+    found = stored(candidates(rows, text_or_empty(F.col(text)), [F.col(key).alias("key")]), "candidates")
     spans = decided(found, train(found))
 
     def count(kind: str) -> Column:
@@ -392,7 +303,7 @@ def find_personal_data(rows: DataFrame, key: str = "doc_id", text: str = "text")
         return F.size(F.filter("base", lambda s: s["kind"] == number)).cast("long")
 
     return spans.select(
-        key,
+        F.col("key").alias(key),
         *[count(kind).alias(f"n_{kind}") for kind in BASE],
         F.sha2(_listed(F.col("base")).cast("binary"), 256).alias("base_sha256"),
         _listed(F.concat("base", "added")).alias("spans"),
@@ -407,7 +318,7 @@ def mask_personal_data(rows: DataFrame, text: str = "text") -> DataFrame:
     """
     held = [F.col(name).alias(name) for name in rows.columns]
     content = text_or_empty(F.col(text))
-    found = stored(located(rows, content, [F.struct(*held).alias("row")]), "candidates")
+    found = stored(candidates(rows, content, [F.struct(*held).alias("row")]), "candidates")
     spans = decided(found, train(found))
     ordered = compute_once(spans, "marks", F.array_sort(F.concat("base", "added")))
     names = F.array(*map(F.lit, KINDS))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hitledger.llm import decontaminate, langid, neardup, pieces, pii, quality, sharding, tokencounts, topk
+from hitledger.llm import decontaminate, langid, neardup, pieces, pii, quality, secrets, sharding, tokencounts, topk
 from hitledger.llm.sql import SHARDING_SQL, TOP_K_SQL
 from hitledger.llm.tables import fold_of, read_table
 
@@ -18,6 +18,10 @@ PIECE_MODEL = "piece_bpe_32k.model"
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_secrets(read_table(spark, sf_dir, "documents"))
+
+
 def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -74,6 +78,7 @@ def op10_tokencounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_secrets": op1_secrets,
         "op2_topk": op2_topk,
         "op3_pii": op3_pii,
         "op4_langid": op4_langid,
