@@ -337,6 +337,27 @@ def _decide(model: Model, sums: np.ndarray, sizes: np.ndarray) -> dict[str, np.n
     }
 
 
+def _of_batch(scores: WordScores, values: pa.Array) -> dict[str, np.ndarray]:
+    """What ADDED names, for every text; few texts are held as words at once."""
+    texts: list[list[str]] = []
+    sums, sizes, held = [], [], 0
+
+    def flush() -> None:
+        nonlocal texts, held
+        for out, part in zip((sums, sizes), scores.of_texts(texts), strict=True):
+            out.append(part)
+        texts, held = [], 0
+
+    for value in values:
+        texts.append(words_of(value.as_py()))
+        held += len(texts[-1])
+        if held >= PART_WORDS:
+            flush()
+    flush()
+    n_letters = np.concatenate(sizes)
+    return _decide(scores.model, np.concatenate(sums), n_letters) | {"n_letters": n_letters}
+
+
 def _training(rows: DataFrame, known: Column, lang: str, text: str) -> DataFrame:
     return rows.where(known & F.col(lang).isNotNull() & F.col(text).isNotNull())
 
@@ -393,21 +414,7 @@ def identify(
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordScores(shared.value)
         for batch in batches:
-            texts: list[list[str]] = []
-            sums, sizes, held = [], [], 0
-            for value in batch.column(0):
-                found = words_of(value.as_py())
-                texts.append(found)
-                held += len(found)
-                if held >= PART_WORDS:
-                    for out, part in zip((sums, sizes), words.of_texts(texts), strict=True):
-                        out.append(part)
-                    texts, held = [], 0
-            for out, part in zip((sums, sizes), words.of_texts(texts), strict=True):
-                out.append(part)
-            n_letters = np.concatenate(sizes)
-            made = _decide(shared.value, np.concatenate(sums), n_letters)
-            made["n_letters"] = n_letters
+            made = _of_batch(words, batch.column(0))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], *(pa.array(made[name]) for name in ADDED)],
                 [*names, *ADDED],
@@ -421,6 +428,19 @@ def identify(
     return out.select(*[F.col(n).alias(c) for n, c in zip(names, passed, strict=True)], *ADDED)
 
 
+def accepted_rows(rows: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows, whole, that identify does not reject."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordScores(shared.value)
+        for batch in batches:
+            made = _of_batch(words, batch.column(batch.schema.names.index(text)))
+            yield batch.filter(pa.array(~made["rejected"]))
+
+    return rows.mapInArrow(select, rows.schema)
+
+
 ADDED = {
     "lang_pred": "string",
     "score": "double",

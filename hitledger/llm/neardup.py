@@ -435,3 +435,32 @@ def _with_components(digest: DataFrame, labels: DataFrame, key: str) -> DataFram
             F.col("id").alias(key), F.col("n").alias("n_shingles"), "component_id", kept.alias("kept")
         )
     )
+
+
+def without_copies(
+    rows: DataFrame,
+    words: int = 5,
+    similarity: str = "0.8",
+    key: str = "doc_id",
+    text: str = "text",
+) -> DataFrame:
+    """The rows, whole, of which one stays of every near-duplicate group.
+
+    The row with the group's smallest id stays; of several with that id, the one with the
+    smallest hash. Rows with a null id all stay.
+    """
+    marked = near_duplicates(rows, words, similarity, key, text).where(F.col(key).isNotNull())
+    held = stored(marked.where("kept").groupBy(key).agg(F.count("*").alias("copies")), "kept")
+    alone = rows.join(held.where("copies = 1").select(key), key, "left_semi")
+    kept = alone.unionByName(rows.where(F.col(key).isNull()))
+    repeated = held.where("copies > 1").select(key)
+    if repeated.isEmpty():
+        return kept.select(rows.columns)
+    whole = F.struct(*[F.col(name) for name in rows.columns])
+    one = (
+        rows.join(repeated, key, "left_semi")
+        .groupBy(F.col(key).alias("group"))
+        .agg(F.min_by(whole, F.xxhash64(whole)).alias("row"))
+        .select("row.*")
+    )
+    return kept.select(rows.columns).unionByName(one)
