@@ -60,10 +60,13 @@ def line_fields(line: Column) -> Column:
     """The nine captured texts as an array, or an array of another size for a bad line.
 
     The pattern runs once per line; extracting the groups one by one would run it ten
-    times. NULL, and text holding a line break, give NULL.
+    times. That is left to text with a line feed inside, which no scan of lines gives but
+    other tables may, and in which the feed cannot part the captures. NULL gives NULL.
     """
-    captured = F.regexp_replace(line, F.lit(_WHOLE_LINE), F.lit(_CAPTURES))
-    return F.split(F.when(~line.contains(_SEPARATOR), captured), _SEPARATOR)
+    captured = F.split(F.regexp_replace(line, F.lit(_WHOLE_LINE), F.lit(_CAPTURES)), _SEPARATOR)
+    groups = [F.regexp_extract(line, _WHOLE_LINE, i) for i in range(1, len(FIELDS) + 1)]
+    one_by_one = F.when(line.rlike(_WHOLE_LINE), F.array(*groups)).otherwise(F.array(line))
+    return F.when(line.contains(_SEPARATOR), one_by_one).otherwise(captured)
 
 
 def is_parsed(fields: Column) -> Column:

@@ -31,6 +31,12 @@ PARSED = _struct(
 )
 
 
+def text_literal(text: str) -> str:
+    """SQL literal of any text."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 @dataclass(frozen=True, eq=False)
 class TableSpec:
     """A stored table. ``schema`` keeps the declared order; Spark stores partition keys last."""
@@ -50,10 +56,11 @@ class TableSpec:
         return (
             f"CREATE TABLE IF NOT EXISTS `{database}`.`{self.name}` ({columns})"
             f" USING parquet PARTITIONED BY ({keys})"
-            f" OPTIONS (compression 'snappy') LOCATION '{location}'"
+            f" OPTIONS (compression 'snappy') LOCATION {text_literal(location)}"
         )
 
 
+# Names, order and types of the columns of the five tables.
 ACCESS_LOGS = TableSpec(
     "access_logs",
     _struct(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
@@ -42,14 +41,15 @@ def scoped_conf(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[No
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a temporary folder only in local mode."""
+    """The shared folder named by the cluster, by setting or by ``setCheckpointDir``."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not shared:
+        named = spark.sparkContext.getCheckpointDir()
+        # Spark adds a folder of its own to the one that was named
+        shared = named.rsplit("/", 1)[0] if named else None
+    if not shared:
         raise RuntimeError(
-            "spark.checkpoint.dir is not set: executors need a shared folder for scratch tables"
+            "no shared folder for scratch tables: set spark.checkpoint.dir when the session is"
+            " built, or call sparkContext.setCheckpointDir"
         )
-    local = tempfile.mkdtemp(prefix="hitledger-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    return shared.rstrip("/")

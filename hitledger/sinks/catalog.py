@@ -5,11 +5,12 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hitledger.schemas import ALL_TABLES, TableSpec
+from hitledger.schemas import ALL_TABLES, TableSpec, text_literal
 
 DEFAULT_DATABASE = "web_logs"
+STAGED = "staged_"
 
 
 @dataclass(frozen=True)
@@ -28,7 +29,8 @@ class LogDatabase:
     def create(self) -> LogDatabase:
         """Create the database and its tables where they do not exist yet."""
         root = self.location.rstrip("/")
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.name}` LOCATION '{root}'")
+        place = text_literal(root)
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.name}` LOCATION {place}")
         for spec in ALL_TABLES:
             name = self.qualified(spec.name)
             if not self.spark.catalog.tableExists(name):
@@ -53,8 +55,32 @@ class LogDatabase:
     def tables(self) -> dict[str, DataFrame]:
         return {spec.name: self.table(spec) for spec in ALL_TABLES}
 
+    def days(self, spec: TableSpec) -> DataFrame:
+        """``date`` of every partition of a daily table, from the catalog alone.
+
+        No file is opened and none is listed. A partition stays listed as long as it exists,
+        and writes only make partitions that have rows.
+        """
+        if spec.partition_by != ("date",):
+            raise ValueError(f"{spec.name} is not partitioned by date")
+        listed = self.spark.sql(f"SHOW PARTITIONS {self.qualified(spec.name)}")
+        value = F.substring_index("partition", "=", -1)
+        return listed.select(value.try_cast("date").alias("date")).where("date IS NOT NULL")
+
     def new_staging_name(self, spec: TableSpec) -> str:
-        return f"staged_{spec.name}_{uuid.uuid4().hex}"
+        return f"{STAGED}{spec.name}_{uuid.uuid4().hex}"
+
+    def staged_tables(self) -> list[str]:
+        """Staging tables that are there: of running loads, and of loads that were killed."""
+        tables = list_tables(self.spark, self.name).collect()
+        return sorted(row.tableName for row in tables if row.tableName.startswith(STAGED))
+
+    def drop_staged_tables(self) -> list[str]:
+        """Remove all staging tables. Only for a time when no load runs."""
+        names = self.staged_tables()
+        for name in names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.qualified(name)}")
+        return names
 
 
 def list_databases(spark: SparkSession) -> DataFrame:

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import re
-from datetime import date
+from collections.abc import Iterable
+from datetime import date, timedelta
+from fnmatch import fnmatchcase
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 LOG_FILES = "*.log.gz"
@@ -39,26 +43,29 @@ def parse_day(text: str) -> date:
     raise ValueError(f"Invalid date {text!r}, use YYYY-MM-DD")
 
 
-def archive_root(path: str) -> str:
-    """The part of a glob before its first pattern."""
-    fixed = []
-    for part in path.split("/"):
-        if any(sign in part for sign in "*?[{"):
-            break
-        fixed.append(part)
-    return "/".join(fixed).rstrip("/")
+def _fits(level: str, name: str) -> bool:
+    """Whether a path level, which may be a pattern, can stand for a directory name."""
+    return "{" in level or fnmatchcase(name, level)
 
 
 def day_path(path: str, day: date, hive_layout: bool = False) -> str:
-    """Glob of one day's files in the archive that ``path`` (root or glob) points into.
+    """``path`` with its three day levels, those before the file, set to one day.
 
-    Directories are ``YYYY/MM/DD``, or ``year=YYYY/month=MM/day=DD`` as this module's
-    export and other Hive-style writers lay them out.
+    Everything else of a glob stays as it is given. A path without any pattern is taken for
+    an archive's root. Directories are ``YYYY/MM/DD``, or ``year=YYYY/month=MM/day=DD`` as
+    this module's export and other Hive-style writers lay them out.
     """
-    root = archive_root(path)
+    names = [f"{day:%Y}", f"{day:%m}", f"{day:%d}"]
     if hive_layout:
-        return f"{root}/year={day:%Y}/month={day:%m}/day={day:%d}/*.gz"
-    return f"{root}/{day:%Y}/{day:%m}/{day:%d}/{LOG_FILES}"
+        names = [f"{key}={name}" for key, name in zip(DAY_KEYS, names)]
+    if not any(sign in path for sign in "*?[{"):
+        return "/".join([path.rstrip("/"), *names, "*.gz" if hive_layout else LOG_FILES])
+    *before, year, month, day_level, files = path.split("/")
+    if len(before) < 1 or not all(map(_fits, (year, month, day_level), names)):
+        raise ValueError(
+            f"{path!r} does not end in levels for year, month, day and file that hold {day}"
+        )
+    return "/".join([*before, *names, files])
 
 
 def scan_one_day(
@@ -68,6 +75,33 @@ def scan_one_day(
     return scan_lines(spark, day_path(path, day, hive_layout), spread)
 
 
+def scan_around_days(
+    spark: SparkSession,
+    path: str,
+    days: Iterable[date],
+    hive_layout: bool = False,
+    spread: bool = False,
+) -> DataFrame:
+    """Lines of the directories that can hold rows of the days, for a load that replaces them.
+
+    An offset moves a row over midnight by up to a day, so the directories next to a day are
+    read as well. Those of the days themselves must exist, their neighbours need not.
+    """
+    wanted = set(days)
+    near = {day + timedelta(days=i) for day in wanted for i in (-1, 0, 1)}
+    parts = []
+    for day in sorted(near):
+        try:
+            parts.append(scan_one_day(spark, path, day, hive_layout, spread))
+        except AnalysisException as error:
+            if day in wanted or error.getCondition() != "PATH_NOT_FOUND":
+                raise
+        except ValueError:  # a glob of one month or year has no directory for the neighbour
+            if day in wanted:
+                raise
+    return reduce(DataFrame.unionByName, parts)
+
+
 def export_lines(lines: DataFrame, day: str, path: str, lines_per_file: int = 500_000) -> None:
     """Write ``value`` as gzip text, one directory per value of the date column ``day``.
 

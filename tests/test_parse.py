@@ -57,6 +57,8 @@ ACCEPTED = {
                      {"status_code": 200, "response_size": 512}),
     "quote in url": (BASE.replace("/home", '/a"b'), {"url": '/a"b'}),
     "month case": (BASE.replace("Jan", "JAN"), {"month": 1}),
+    "line feed in the agent": (BASE.replace("curl", "cu\nrl"), {"user_agent": "cu\nrl/7.68.0"}),
+    "line feeds in the referer": (BASE.replace('"-"', '"\na\n"'), {"referer": "\na\n"}),
 }
 
 REJECTED = {
@@ -70,7 +72,7 @@ REJECTED = {
     "quote in referer": BASE.replace('"-"', '"a"b"'),
     "no-break space in token": BASE.replace("/home", "/ho me"),
     "separator in token": BASE.replace("/home", "/ho\x1cme"),
-    "line feed": BASE.replace("curl", "cu\nrl"),
+    "line feed in a token": BASE.replace("/home", "/ho\nme"),
     "null": None,
     "nine short lines": "\n".join("abcdefghi"),
 }
