@@ -8,7 +8,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from hitledger.operators import reports
-from hitledger.plans.batch import LoadOptions, LoadReport, run
+from hitledger.plans.batch import LoadOptions, LoadReport, refresh, run, store_dropped
 from hitledger.schemas import ACCESS_LOGS, ALL_TABLES, DAILY_TOP_DEVICES, DAILY_TOP_IPS
 from hitledger.session import configure_session
 from hitledger.sinks.catalog import DEFAULT_DATABASE, LogDatabase
@@ -27,47 +27,79 @@ def arguments() -> argparse.ArgumentParser:
         "--spread-lines", action="store_true", help="deal lines out evenly: few, large files"
     )
     parser.add_argument("--mode", choices=("append", "replace"), default="append")
-    parser.add_argument("--refresh", choices=("touched", "all"))
+    parser.add_argument("--refresh", choices=("touched", "all"), default="touched")
+    parser.add_argument(
+        "--refresh-only", action="store_true", help="load nothing, recompute the top-N tables"
+    )
+    parser.add_argument("--dropped-path", help="also write lines without a row, and why, there")
     parser.add_argument("--week-year", choices=("calendar", "iso"), default="calendar")
-    parser.add_argument("--max-reject-share", type=float, default=1.0)
+    parser.add_argument("--top-n", type=int, default=5)
+    parser.add_argument(
+        "--max-dropped-share", type=float, default=0.5, help="fail beyond this share of lines"
+    )
     return parser
 
 
 def print_summary(database: LogDatabase, report: LoadReport) -> None:
     print(f"lines read {report.lines_read:,}, parsed {report.lines_parsed:,}")
+    print(f"without a valid time {report.bad_times:,}, of other days {report.other_days:,}")
     print(f"rows enriched {report.rows_enriched:,}")
-    if not report.stored:
+    if report.stored:
+        print_tables(database)
+    else:
         print("nothing to load")
-        return
-    logs = database.table(ACCESS_LOGS)
+
+
+def print_tables(database: LogDatabase) -> None:
+    logs, days = database.table(ACCESS_LOGS), database.days(ACCESS_LOGS)
     reports.table_row_counts(database.tables()).show(len(ALL_TABLES), truncate=False)
-    reports.data_range_summary(logs).show(truncate=False)
-    reports.recent_daily_summary(logs).show(truncate=False)
+    reports.data_range_summary(logs, days).show(truncate=False)
+    reports.recent_daily_summary(logs, days).show(truncate=False)
     for spec in (DAILY_TOP_IPS, DAILY_TOP_DEVICES):
-        reports.latest_top(database.table(spec), spec.item).show(truncate=False)
+        top = reports.latest_top(database.table(spec), spec.item, database.days(spec))
+        top.show(top.count(), truncate=False)
 
 
 def main(argv: list[str] | None = None) -> int:
-    args = arguments().parse_args(argv)
-    path, day = args.input_path, None
+    parser = arguments()
+    args = parser.parse_args(argv)
+    day = None
+    replaces = args.mode == "replace" and not args.refresh_only
+    if replaces and not args.process_date:
+        parser.error("--mode replace needs --process-date")
     if args.process_date:
         try:
             day = text_logs.parse_day(args.process_date)
+            text_logs.day_path(args.input_path, day, args.hive_layout)
         except ValueError as error:
             print(f"Error: {error}", file=sys.stderr)
             return 1
-        path = text_logs.day_path(path, day, args.hive_layout)
     options = LoadOptions(
-        mode=args.mode,
-        process_day=day,
+        mode="replace" if replaces else "append",
+        replace_days=(day,) if replaces else (),
         refresh=args.refresh,
+        top_n=args.top_n,
         week_year=args.week_year,
-        max_reject_share=args.max_reject_share,
+        max_dropped_share=args.max_dropped_share,
     )
     spark = configure_session(SparkSession.builder.appName(args.app_name).getOrCreate())
     try:
         database = LogDatabase(spark, args.warehouse, args.database)
-        report = run(text_logs.scan_lines(spark, path, args.spread_lines), database, options)
+        if args.refresh_only:
+            refresh(database, options, [day] if day else [])
+            print_tables(database)
+            return 0
+        path = args.input_path
+        if replaces:
+            lines = text_logs.scan_around_days(spark, path, [day], args.hive_layout, args.spread_lines)
+        else:
+            path = text_logs.day_path(path, day, args.hive_layout) if day else path
+            lines = text_logs.scan_lines(spark, path, args.spread_lines)
+        report = run(lines, database, options)
+        if args.dropped_path:
+            store_dropped(
+                lines if replaces else text_logs.scan_lines_by_file(spark, path), args.dropped_path
+            )
         print_summary(database, report)
     finally:
         spark.stop()

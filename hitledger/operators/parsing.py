@@ -46,6 +46,21 @@ def with_timestamp(parsed: DataFrame) -> DataFrame:
     return timed.where(F.col("timestamp").isNotNull()).select(*names)
 
 
+def dropped_lines(lines: DataFrame) -> DataFrame:
+    """Every line that gives no row, with ``reason`` and whatever columns came along.
+
+    ``pattern``: the line has not the combined format. ``time``: it has, but its time is
+    none. Together with the enriched rows these are all lines.
+    """
+    split = split_lines(lines)
+    parsed = logline.is_parsed(F.col(_FIELDS))
+    stamp = logline.field_columns(F.col(_FIELDS))[logline.FIELDS.index("timestamp_str")]
+    bad_time = parsed & logline.log_time(stamp).isNull()
+    reason = F.when(~parsed, "pattern").when(bad_time, "time")
+    told = compute_once(split, "reason", reason)
+    return told.where(F.col("reason").isNotNull()).drop(_FIELDS)
+
+
 def line_counts() -> list[Column]:
     """Counts over ``split_lines``, for an aggregate or an observation."""
     return [

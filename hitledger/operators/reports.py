@@ -17,46 +17,43 @@ def _addresses() -> Column:
     return F.count_distinct("ip_address")
 
 
-def date_range(logs: DataFrame) -> DataFrame:
-    days = logs.select("date").distinct()
+def date_range(days: DataFrame) -> DataFrame:
+    """First and last of the days and their number; ``LogDatabase.days`` opens no data file."""
     return days.agg(
         F.min("date").alias("min_date"),
         F.max("date").alias("max_date"),
-        F.count("date").alias("total_days"),
+        F.count_distinct("date").alias("total_days"),
     )
 
 
-def data_range_summary(logs: DataFrame) -> DataFrame:
+def data_range_summary(logs: DataFrame, days: DataFrame) -> DataFrame:
     """Range of days, addresses and mean size of the whole table.
 
-    Days are counted from the partition values on their own. With both distinct counts
-    in one aggregate Spark would copy every row once per distinct column.
+    The days come from the catalog; addresses and sizes need the rows. With both distinct
+    counts in one aggregate Spark would copy every row once per distinct column.
     """
-    days = logs.select("date").distinct()
-    found = days.agg(
-        F.struct(
-            F.min("date").alias("first"), F.max("date").alias("last"), F.count("date").alias("n")
-        )
-    ).scalar()
+    found = date_range(days).select(F.struct("*")).scalar()
     totals = logs.agg(
         _addresses().alias("unique_ips"), F.avg("response_size").alias("avg_response_size")
     )
     return totals.select(
-        found.getField("first").alias("earliest_date"),
-        found.getField("last").alias("latest_date"),
-        found.getField("n").alias("total_days"),
+        found.getField("min_date").alias("earliest_date"),
+        found.getField("max_date").alias("latest_date"),
+        found.getField("total_days").alias("total_days"),
         "unique_ips",
         "avg_response_size",
     )
 
 
-def recent_daily_summary(logs: DataFrame, days: int = 300, limit: int = 20) -> DataFrame:
+def recent_daily_summary(
+    logs: DataFrame, listed: DataFrame, days: int = 300, limit: int = 20
+) -> DataFrame:
     """The newest ``limit`` days no older than ``days`` before the newest one.
 
-    The first day to report is looked up from the dates alone, so on a partitioned
-    table only the reported partitions are read.
+    The first day to report comes from the listed days, ``LogDatabase.days``, so only the
+    partitions of the reported days are read.
     """
-    newest = logs.select("date").distinct().orderBy(F.desc("date")).limit(limit)
+    newest = listed.select("date").distinct().orderBy(F.desc("date")).limit(limit)
     first_day = newest.agg(F.greatest(F.min("date"), F.date_sub(F.max("date"), days)))
     return (
         logs.where(F.col("date") >= first_day.scalar())
@@ -127,23 +124,29 @@ def status_breakdown(logs: DataFrame, since: str) -> DataFrame:
     ).orderBy(F.desc("count"), "status_category", "status_code")
 
 
-def latest_top(top: DataFrame, item: str, limit: int = 5) -> DataFrame:
-    """Ranking of the newest day in a daily top-N table."""
-    newest = top.agg(F.max("date")).scalar()
+def latest_top(top: DataFrame, item: str, days: DataFrame) -> DataFrame:
+    """Ranking of the newest of the days in a daily top-N table, as wide as it is stored."""
+    newest = days.agg(F.max("date")).scalar()
     return (
         top.where(F.col("date") == newest)
         .select("date", item, "request_count", "rank")
         .orderBy("rank")
-        .limit(limit)
     )
 
 
-def top_on_day(top: DataFrame, day: str, limit: int = 10) -> DataFrame:
+def top_on_day(top: DataFrame, day: str) -> DataFrame:
     """One day of a daily top-N table, most requests first."""
+    return top.where(F.col("date") == F.lit(day).cast("date")).orderBy(
+        F.desc("request_count"), "rank"
+    )
+
+
+def top_by_week(top: DataFrame, item: str, first_year: int, last_year: int) -> DataFrame:
+    """Weekly rankings of some years, by year, week and rank; reads their partitions only."""
     return (
-        top.where(F.col("date") == F.lit(day).cast("date"))
-        .orderBy(F.desc("request_count"), "rank")
-        .limit(limit)
+        top.where(F.col("year").between(first_year, last_year))
+        .select("year", "week_of_year", "week_start_date", "week_end_date", item, "request_count", "rank")
+        .orderBy("year", "week_of_year", "rank")
     )
 
 

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace as dataclass_replace
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from hitledger.operators import parsing
 from hitledger.operators.enrich import enrich
-from hitledger.operators.topn import top_requests
+from hitledger.operators.topn import daily_counts, top_of_days
 from hitledger.schemas import ACCESS_LOGS, TOP_TABLES, TopTableSpec
 from hitledger.session import configure_session
 from hitledger.sinks import writers
@@ -23,41 +23,44 @@ class LoadOptions:
     """How a load publishes.
 
     ``mode``: ``"append"`` adds rows, so loading the same files twice doubles them.
-    ``"replace"`` replaces the days that occur in the input and can be repeated; the
-    input must then hold those days whole.
-
-    ``process_day``: the one day being loaded, if it is only one. In replace mode a row of
-    any other day (an offset can move a row over midnight) fails the audit, because
-    publishing it would replace that other day by the few rows seen here.
+    ``"replace"`` replaces the days named in ``replace_days`` and no others, and can be
+    repeated. Rows of other days in the input are left out and counted, so the input may and
+    should include the neighbours of those days, where offsets put rows of theirs.
 
     ``refresh``: ``"touched"`` recomputes the top-N partitions the loaded days belong to,
-    ``"all"`` every partition. By default a one-day load refreshes what it touched.
+    ``"all"`` every partition.
+
+    ``max_dropped_share``: the load fails if more than this share of the lines gives no row,
+    for its format or for its time.
     """
 
     mode: str = "append"
-    process_day: date | None = None
-    refresh: str | None = None
+    replace_days: tuple[date, ...] = ()
+    refresh: str = "touched"
     top_n: int = 5
     week_year: str = "calendar"
-    max_reject_share: float = 1.0
+    max_dropped_share: float = 0.5
 
     def __post_init__(self) -> None:
         if self.mode not in ("append", "replace"):
             raise ValueError(f"mode must be 'append' or 'replace', not {self.mode!r}")
-        if self.refresh not in (None, "touched", "all"):
+        if self.refresh not in ("touched", "all"):
             raise ValueError(f"refresh must be 'touched' or 'all', not {self.refresh!r}")
-
-    @property
-    def refresh_touched(self) -> bool:
-        return (self.refresh or ("touched" if self.process_day else "all")) == "touched"
+        if (self.mode == "replace") != bool(self.replace_days):
+            raise ValueError("replace_days are what mode 'replace', and only it, needs")
 
 
 @dataclass
 class LoadReport:
-    """Counts of one load. ``stored`` stays empty when there was nothing to load."""
+    """Counts of one load. ``stored`` stays empty when there was nothing to load.
+
+    lines_read = lines_rejected + bad_times + other_days + rows_enriched.
+    """
 
     lines_read: int = 0
     lines_parsed: int = 0
+    bad_times: int = 0
+    other_days: int = 0
     rows_enriched: int = 0
     days: list[date] = field(default_factory=list)
     stored: dict[str, int] = field(default_factory=dict)
@@ -67,6 +70,18 @@ class LoadReport:
         return self.lines_read - self.lines_parsed
 
 
+class RefreshError(Exception):
+    """The rows of ``access_logs`` are published, but the top-N tables are not up to date.
+
+    Loading again would append the rows again; ``refresh`` with the days of the report brings
+    the tables up to date.
+    """
+
+    def __init__(self, report: LoadReport):
+        super().__init__(f"access_logs is published, refresh the top-N tables of {report.days}")
+        self.report = report
+
+
 def run(lines: DataFrame, database: LogDatabase, options: LoadOptions | None = None) -> LoadReport:
     """Load raw lines into ``access_logs`` and bring the four top-N tables up to date."""
     options = options or LoadOptions()
@@ -74,48 +89,91 @@ def run(lines: DataFrame, database: LogDatabase, options: LoadOptions | None = N
     database.create()
     report = _load_access_logs(lines, database, options)
     if report.stored:
-        report.stored.update(_refresh_top_tables(database, options, report.days))
+        try:
+            report.stored.update(_refresh_top_tables(database, options, report.days))
+        except Exception as error:
+            raise RefreshError(report) from error
     return report
 
 
+def refresh(
+    database: LogDatabase, options: LoadOptions | None = None, days: Iterable[date] = ()
+) -> dict[str, int]:
+    """Bring the top-N tables up to date with ``access_logs``; without days, all of them."""
+    options = options or LoadOptions()
+    configure_session(database.spark)
+    database.create()
+    days = sorted(days)
+    return _refresh_top_tables(
+        database, options if days else dataclass_replace(options, refresh="all"), days
+    )
+
+
+def store_dropped(lines: DataFrame, path: str) -> None:
+    """Add the lines that a load gives no row for to parquet files, with the reason.
+
+    Lines of ``scan_lines_by_file`` come with their file.
+    """
+    parsing.dropped_lines(lines).write.mode("append").parquet(path)
+
+
 def _load_access_logs(
     lines: DataFrame, database: LogDatabase, options: LoadOptions
 ) -> LoadReport:
     # All counts come from the one pass that writes the staging table. That pass has no
     # shuffle, so its tasks are result tasks, whose observed counts Spark adds once each
     # even when lost tasks run again.
-    read, kept = Observation(), Observation()
-    split = parsing.split_lines(lines).observe(read, *parsing.line_counts())
+    read, timed = Observation(), Observation()
+    split = parsing.split_lines(lines.select("value")).observe(read, *parsing.line_counts())
     day = F.col("date")
-    other_day = F.lit(False) if options.process_day is None else day != F.lit(options.process_day)
+    wanted = day.isin(list(options.replace_days)) if options.replace_days else F.lit(True)
     enriched = enrich(parsing.parsed_rows(split)).observe(
-        kept,
-        F.count(F.lit(1)).alias("rows_enriched"),
+        timed,
+        F.count(F.lit(1)).alias("rows_timed"),
         F.count_if(day.isNull()).alias("null_dates"),
-        F.count_if(other_day).alias("other_days"),
+        F.count_if(wanted).alias("rows_enriched"),
     )
     staged = database.new_staging_name(ACCESS_LOGS)
     try:
-        writers.stage(enriched, database, ACCESS_LOGS, staged)
-        counts = {**read.get, **kept.get}
+        writers.stage(enriched.where(wanted), database, ACCESS_LOGS, staged)
+        counts = {**read.get, **timed.get}
         report = LoadReport(
-            counts["lines_read"], counts["lines_parsed"], counts["rows_enriched"]
+            counts["lines_read"],
+            counts["lines_parsed"],
+            counts["lines_parsed"] - counts["rows_timed"],
+            counts["rows_timed"] - counts["rows_enriched"],
+            counts["rows_enriched"],
         )
-        if report.rows_enriched == 0:
+        dropped = report.lines_rejected + report.bad_times
+        if dropped < report.lines_read and report.rows_enriched == 0:
             return report
+        rows = database.spark.table(database.qualified(staged))
+        counts["rows_staged"] = rows.count()  # from the footers of the staged files
         rules = {
             "date is NULL": counts["null_dates"] == 0,
-            f"more than {options.max_reject_share:.0%} of lines rejected": (
-                report.lines_rejected <= options.max_reject_share * report.lines_read
+            f"more than {options.max_dropped_share:.0%} of lines dropped": (
+                dropped <= options.max_dropped_share * report.lines_read
             ),
-            "rows of other days in a one-day replacement": (
-                options.mode == "append" or counts["other_days"] == 0
+            "rows staged are not the rows counted": (
+                counts["rows_staged"] == report.rows_enriched
             ),
         }
+        if report.lines_read == 0:
+            return report
         check(ACCESS_LOGS.name, rules, counts)
-        rows = database.spark.table(database.qualified(staged))
         # One value per partition to be written, so no longer than the table's own listing.
         report.days = sorted(row["date"] for row in rows.select("date").distinct().collect())
+        check(
+            ACCESS_LOGS.name,
+            {
+                "a day outside those to replace": (
+                    options.mode == "append" or set(report.days) <= set(options.replace_days)
+                )
+            },
+            counts,
+        )
+        if not report.days:
+            return report
         if options.mode == "append":
             writers.append(rows, database, ACCESS_LOGS)
         else:
@@ -129,20 +187,29 @@ def _load_access_logs(
 def _refresh_top_tables(
     database: LogDatabase, options: LoadOptions, days: list[date]
 ) -> dict[str, int]:
+    """Count per day and item once, and rank days and weeks from the counts."""
     logs = database.table(ACCESS_LOGS)
+    touched = options.refresh == "touched"
+    if touched:
+        logs = logs.where(F.col("date").isin(days_of_weeks(days, options.week_year)))
+    items = list(dict.fromkeys(spec.item for spec in TOP_TABLES))
+    counted = {item: database.new_staging_name(ACCESS_LOGS) for item in items}
     names = {spec: database.new_staging_name(spec) for spec in TOP_TABLES}
 
-    def stage(spec: TopTableSpec) -> None:
-        rows = logs
-        if options.refresh_touched:
-            period = days_of_weeks(days, options.week_year) if spec.weekly else days
-            rows = logs.where(F.col("date").isin(list(period)))
-        top = top_requests(rows, spec, options.top_n, options.week_year)
+    def count(item: str) -> None:
+        writers.stage_rows(daily_counts(logs, item), database, counted[item])
+
+    def rank(spec: TopTableSpec) -> None:
+        counts = database.spark.table(database.qualified(counted[spec.item]))
+        if touched and not spec.weekly:
+            counts = counts.where(F.col("date").isin(days))
+        top = top_of_days(counts, spec, options.top_n, options.week_year)
         stamped = top.withColumn("processed_timestamp", F.current_timestamp())
         writers.stage(stamped, database, spec, names[spec])
 
     try:
-        writers.at_once(stage, TOP_TABLES)
+        writers.at_once(database.spark, count, items)
+        writers.at_once(database.spark, rank, TOP_TABLES)
         staged = {
             spec: database.spark.table(database.qualified(name)) for spec, name in names.items()
         }
@@ -150,7 +217,7 @@ def _refresh_top_tables(
         writers.overwrite_partitions(staged, database)
         return stored
     finally:
-        for name in names.values():
+        for name in (*counted.values(), *names.values()):
             writers.drop_staged(database, name)
 
 

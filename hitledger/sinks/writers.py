@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import AbstractContextManager
+from functools import partial
 from typing import TypeVar
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.util import inheritable_thread_target
 
 from hitledger.schemas import TableSpec
 from hitledger.session import scoped_conf
@@ -49,11 +51,17 @@ def _insert(df: DataFrame, database: LogDatabase, spec: TableSpec, overwrite: bo
     _gathered(df, spec).write.insertInto(database.qualified(spec.name), overwrite=overwrite)
 
 
-def at_once(task: Callable[[Item], None], items: Iterable[Item]) -> None:
-    """Run independent Spark jobs together, so that small ones fill each other's gaps."""
+def at_once(spark: SparkSession, task: Callable[[Item], None], items: Iterable[Item]) -> None:
+    """Run independent Spark jobs together, so that small ones fill each other's gaps.
+
+    They belong to the caller's job group and scheduler pool.
+    """
     items = list(items)
+    inherited = inheritable_thread_target(spark)
     with ThreadPoolExecutor(len(items)) as pool:
-        list(pool.map(task, items))
+        waiting = [pool.submit(inherited(partial(task, item))) for item in items]
+    for done in waiting:
+        done.result()
 
 
 def append(df: DataFrame, database: LogDatabase, spec: TableSpec) -> None:
@@ -69,7 +77,11 @@ def overwrite_partitions(results: dict[TableSpec, DataFrame], database: LogDatab
     so a reader may see some new and some old ones while the job commits.
     """
     with _insert_settings(database, results):
-        at_once(lambda spec: _insert(results[spec], database, spec, overwrite=True), results)
+        at_once(
+            database.spark,
+            lambda spec: _insert(results[spec], database, spec, overwrite=True),
+            results,
+        )
 
 
 def stage(df: DataFrame, database: LogDatabase, spec: TableSpec, name: str) -> None:
@@ -78,7 +90,12 @@ def stage(df: DataFrame, database: LogDatabase, spec: TableSpec, name: str) -> N
     The write adds no shuffle. What it stores is the cut in the lineage: losing an
     executor later re-reads parquet, which splits, instead of gzip text, which does not.
     """
-    rows = df.select(*spec.columns).write.format("parquet").option("compression", "snappy")
+    stage_rows(df.select(*spec.columns), database, name)
+
+
+def stage_rows(df: DataFrame, database: LogDatabase, name: str) -> None:
+    """Write rows of any columns into a new table ``name`` of the database."""
+    rows = df.write.format("parquet").option("compression", "snappy")
     rows.saveAsTable(database.qualified(name))
 
 

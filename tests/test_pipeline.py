@@ -92,7 +92,7 @@ def test_load_counts_and_tables(spark, database):
 
 @pytest.mark.parametrize("texts", [[], ["nonsense"], [line("99/Jan/2025")]])
 def test_nothing_to_load(spark, database, texts):
-    report = batch.run(lines_of(spark, texts), database)
+    report = batch.run(lines_of(spark, texts), database, LoadOptions(max_dropped_share=1.0))
     assert report.stored == {} and report.rows_enriched == 0
     assert all(rows == [] for rows in stored(database).values())
     assert staging_tables(database) == []
@@ -105,40 +105,104 @@ def test_append_twice_doubles_and_replace_does_not(spark, database):
     batch.run(lines, database)
     assert rows_of(database, ACCESS_LOGS) == ordered(once["access_logs"] * 2)
     assert {row[2] for row in rows_of(database, DAILY_TOP_IPS)} == {2}
-    batch.run(lines, database, LoadOptions(mode="replace"))
+    days = (dt.date(2025, 1, 5), dt.date(2025, 1, 6))
+    batch.run(lines, database, LoadOptions(mode="replace", replace_days=days))
     assert stored(database) == once
 
 
 def test_replace_leaves_other_days_alone(spark, database):
     batch.run(lines_of(spark, [line("05/Jan/2025"), line("20/Jan/2025", "3.3.3.3")]), database)
     day = lines_of(spark, [line("05/Jan/2025", "9.9.9.9")])
-    options = LoadOptions(mode="replace", process_day=dt.date(2025, 1, 5))
+    options = LoadOptions(mode="replace", replace_days=(dt.date(2025, 1, 5),))
     batch.run(day, database, options)
     assert [(row[0], row[1]) for row in rows_of(database, DAILY_TOP_IPS)] == [
         (dt.date(2025, 1, 5), "9.9.9.9"), (dt.date(2025, 1, 20), "3.3.3.3")
     ]
 
 
-def test_replacing_one_day_refuses_rows_of_others(spark, database):
-    batch.run(lines_of(spark, [line("05/Jan/2025"), line("06/Jan/2025")]), database)
+def test_replacing_a_day_touches_no_other(spark, database):
+    """Rows that an offset moves to another day are left out, and that day stays whole."""
+    both = [line(f"{day:02d}/Jan/2025", f"1.1.1.{i}") for day in (5, 6) for i in range(12)]
+    batch.run(lines_of(spark, both), database)
     before = stored(database)
-    shifted = [line("05/Jan/2025"), line("05/Jan/2025", time="23:30:00 -0530")]
-    options = LoadOptions(mode="replace", process_day=dt.date(2025, 1, 5))
-    with pytest.raises(AuditError) as error:
-        batch.run(lines_of(spark, shifted), database, options)
-    assert error.value.counts["other_days"] == 1
-    assert stored(database) == before and staging_tables(database) == []
-    report = batch.run(
-        lines_of(spark, shifted), database, LoadOptions(process_day=dt.date(2025, 1, 5))
-    )
-    assert report.days == [dt.date(2025, 1, 5), dt.date(2025, 1, 6)]
+    shifted = [line("05/Jan/2025", "7.7.7.7"), line("05/Jan/2025", time="23:30:00 -0530")]
+    options = LoadOptions(mode="replace", replace_days=(dt.date(2025, 1, 5),))
+    report = batch.run(lines_of(spark, shifted), database, options)
+    assert (report.other_days, report.rows_enriched) == (1, 1)
+    rows = rows_of(database, ACCESS_LOGS)
+    sixth = [row for row in before["access_logs"] if dt.date(2025, 1, 6) in row]
+    assert len(sixth) == 12 and [row for row in rows if dt.date(2025, 1, 6) in row] == sixth
+    assert [row[0] for row in rows if dt.date(2025, 1, 5) in row] == ["7.7.7.7"]
+    again = batch.run(lines_of(spark, shifted), database)
+    assert again.days == [dt.date(2025, 1, 5), dt.date(2025, 1, 6)]
+
+
+def test_replacing_reads_the_neighbours(spark, database, tmp_path):
+    for day, times in {5: ["10:00:00 +0000", "23:30:00 -0530"], 6: ["00:10:00 +0900", "10:00:00 +0000"]}.items():
+        folder = tmp_path / f"2025/01/{day:02d}"
+        folder.mkdir(parents=True)
+        with gzip.open(folder / "x.gz", "wt") as file:
+            file.writelines(line(f"{day:02d}/Jan/2025", time=time) + "\n" for time in times)
+    path = f"{tmp_path}/*/*/*/*.gz"
+    batch.run(text_logs.scan_lines(spark, path), database)
+    before = stored(database)
+    for day in (dt.date(2025, 1, 5), dt.date(2025, 1, 6)):
+        lines = text_logs.scan_around_days(spark, path, [day])
+        batch.run(lines, database, LoadOptions(mode="replace", replace_days=(day,)))
+        assert stored(database) == before
 
 
-def test_too_many_rejects_publish_nothing(spark, database):
-    texts = [line("05/Jan/2025"), "x", "y"]
+@pytest.mark.parametrize("texts", [["x", "y"], ["99"] * 2])
+def test_too_many_dropped_lines_publish_nothing(spark, database, texts):
+    texts = [line("05/Jan/2025"), *(line("99/Jan/2025") if text == "99" else text for text in texts)]
     with pytest.raises(AuditError):
-        batch.run(lines_of(spark, texts), database, LoadOptions(max_reject_share=0.5))
+        batch.run(lines_of(spark, texts), database)
     assert all(rows == [] for rows in stored(database).values())
+    assert staging_tables(database) == []
+    batch.run(lines_of(spark, texts), database, LoadOptions(max_dropped_share=0.7))
+    assert len(rows_of(database, ACCESS_LOGS)) == 1
+
+
+def test_every_line_is_accounted_for(spark, database, tmp_path):
+    texts = [line("05/Jan/2025"), line("05/Jan/2025"), line("99/Jan/2025"), "junk"]
+    report = batch.run(lines_of(spark, texts), database)
+    assert (report.lines_rejected, report.bad_times, report.other_days, report.rows_enriched) == (1, 1, 0, 2)
+    batch.store_dropped(lines_of(spark, texts), f"{tmp_path}/dropped")
+    dropped = spark.read.parquet(f"{tmp_path}/dropped").collect()
+    assert sorted((row.reason, row.value) for row in dropped) == [("pattern", "junk"), ("time", texts[2])]
+
+
+def test_a_failed_refresh_can_be_made_up_for(spark, database, monkeypatch):
+    lines = lines_of(spark, [line("05/Jan/2025"), line("06/Jan/2025")])
+    with monkeypatch.context() as patch:
+        patch.setattr(batch, "audit_top_tables", lambda *_: (_ for _ in ()).throw(ValueError("no")))
+        with pytest.raises(batch.RefreshError) as error:
+            batch.run(lines, database)
+    assert len(rows_of(database, ACCESS_LOGS)) == 2 and rows_of(database, DAILY_TOP_IPS) == []
+    batch.refresh(database, days=error.value.report.days)
+    once = stored(database)
+    assert len(once["daily_top_ips"]) == 2
+    batch.refresh(database)
+    assert stored(database) == once
+
+
+def test_days_and_staging_tables_come_from_the_catalog(spark, database):
+    batch.run(lines_of(spark, [line("05/Jan/2025"), line("07/Jan/2025")]), database)
+    listed = database.days(ACCESS_LOGS)
+    assert sorted(row.date for row in listed.collect()) == [dt.date(2025, 1, 5), dt.date(2025, 1, 7)]
+    with pytest.raises(ValueError):
+        database.days(WEEKLY_TOP_IPS)
+    name = database.new_staging_name(DAILY_TOP_IPS)
+    writers.stage_rows(spark.range(2), database, name)
+    assert database.staged_tables() == [name] == database.drop_staged_tables()
+    assert database.staged_tables() == []
+
+
+def test_a_quote_in_the_location(spark, tmp_path):
+    run_id = uuid.uuid4().hex
+    database = LogDatabase(spark, f"{tmp_path}/it's", f"quoted_{run_id}")
+    batch.run(lines_of(spark, [line("05/Jan/2025")]), database)
+    assert len(rows_of(database, ACCESS_LOGS)) == 1
 
 
 def test_refreshing_touched_periods_equals_refreshing_all(spark, database):
@@ -154,11 +218,11 @@ def test_refreshing_touched_periods_equals_refreshing_all(spark, database):
         assert touched[spec.name] == want
 
 
-def test_one_day_load_refreshes_only_what_it_touched():
-    assert LoadOptions(process_day=dt.date(2025, 1, 5)).refresh_touched
-    assert not LoadOptions().refresh_touched
-    assert not LoadOptions(process_day=dt.date(2025, 1, 5), refresh="all").refresh_touched
-    for bad in ({"mode": "merge"}, {"refresh": "some"}):
+def test_options():
+    for bad in (
+        {"mode": "merge"}, {"refresh": "some"}, {"mode": "replace"},
+        {"replace_days": (dt.date(2025, 1, 5),)},
+    ):
         with pytest.raises(ValueError):
             LoadOptions(**bad)
 
@@ -254,14 +318,26 @@ def test_scan_of_plain_day_directories(spark, archive):
     assert "/2025/01/06/" in rejected[0].file_path
 
 
-def test_paths():
-    day = dt.date(2025, 1, 5)
-    assert text_logs.day_path("s3a://b/logs/app/*/*/*/*.log.gz", day) == (
-        "s3a://b/logs/app/2025/01/05/*.log.gz"
-    )
-    assert text_logs.day_path("/logs/app/", day, hive_layout=True) == (
-        "/logs/app/year=2025/month=01/day=05/*.gz"
-    )
+@pytest.mark.parametrize(("path", "hive", "want"), [
+    ("s3a://b/logs/app/*/*/*/*.log.gz", False, "s3a://b/logs/app/2025/01/05/*.log.gz"),
+    ("/logs/app/", True, "/logs/app/year=2025/month=01/day=05/*.gz"),
+    ("/x/web/*/*/*/*.gz", False, "/x/web/2025/01/05/*.gz"),
+    ("/logs/*/2025/*/*/a*.gz", False, "/logs/*/2025/01/05/a*.gz"),
+    ("/x/web/2025/01/*/*.log.gz", False, "/x/web/2025/01/05/*.log.gz"),
+    ("/x/year=*/month=*/day=*/*", True, "/x/year=2025/month=01/day=05/*"),
+    ("/x/{2024,2025}/*/0?/*.gz", False, "/x/2025/01/05/*.gz"),
+])
+def test_day_paths_keep_the_glob(path, hive, want):
+    assert text_logs.day_path(path, dt.date(2025, 1, 5), hive) == want
+
+
+@pytest.mark.parametrize("path", ["/x/*.gz", "/x/2024/*/*/*.gz", "/x/app/*/*.gz"])
+def test_day_paths_without_day_levels_are_refused(path):
+    with pytest.raises(ValueError):
+        text_logs.day_path(path, dt.date(2025, 1, 5))
+
+
+def test_days_as_text():
     for bad in ("2025-1-5", "2025-02-30", "05/01/2025", ""):
         with pytest.raises(ValueError):
             text_logs.parse_day(bad)
@@ -306,10 +382,29 @@ def test_command_line(spark, archive, tmp_path, capsys, monkeypatch):
     name = f"cli_{uuid.uuid4().hex}"
     code = cli.main(["--input-path", archive, "--warehouse", f"{tmp_path}/tables",
                      "--database", name, "--process-date", "2025-01-06",
-                     "--spread-lines"])
+                     "--spread-lines", "--dropped-path", f"{tmp_path}/dropped"])
     assert code == 0
+    assert [row.reason for row in spark.read.parquet(f"{tmp_path}/dropped").collect()] == ["pattern"]
     shown = capsys.readouterr().out
     assert "lines read 2, parsed 1" in shown and "daily_top_devices" in shown
     assert [row[0] for row in rows_of(LogDatabase(spark, "", name), DAILY_TOP_IPS)] == [
         dt.date(2025, 1, 6)
     ]
+    for more in (["--mode", "replace"], ["--refresh-only"]):
+        assert cli.main(["--input-path", archive, "--warehouse", f"{tmp_path}/tables",
+                         "--database", name, "--process-date", "2025-01-06", *more]) == 0
+        assert len(rows_of(LogDatabase(spark, "", name), ACCESS_LOGS)) == 1
+    with pytest.raises(SystemExit):
+        cli.main(["--input-path", archive, "--warehouse", "/none", "--mode", "replace"])
+
+
+def test_scratch_folder(spark, monkeypatch):
+    """The setting, else the folder of setCheckpointDir, else a clear error in any mode."""
+    class Session:
+        conf = type("", (), {"get": staticmethod(lambda key, default=None: default)})
+        sparkContext = type("", (), {"getCheckpointDir": staticmethod(lambda: "file:/shared/c/1-2")})
+
+    assert scratch_dir(Session) == "file:/shared/c"
+    monkeypatch.setattr(Session.sparkContext, "getCheckpointDir", staticmethod(lambda: None))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(Session)

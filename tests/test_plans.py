@@ -60,13 +60,21 @@ def test_day_filter_goes_through_the_ranking(logs):
     assert "2025-01-05" in partition_filters(plan(reports.top_on_day(top, "2025-01-05")))
 
 
-def test_recent_days_prune_by_a_subquery(logs):
-    text = plan(reports.recent_daily_summary(logs))
+def test_recent_days_prune_by_a_subquery(spark, logs):
+    days = entry._database(spark, SF).days(ACCESS_LOGS)
+    text = plan(reports.recent_daily_summary(logs, days))
+    assert text.count("Scan parquet") == 1 or text.count("ReadSchema") == 1
     assert "Subquery" in partition_filters(text) or "subquery" in partition_filters(text)
     assert "TakeOrderedAndProject" in text
 
 
-def test_whole_table_summary_copies_no_rows(logs):
-    text = plan(reports.data_range_summary(logs))
-    assert "Expand" not in text
-    assert text.count("ReadSchema: struct<>") >= 1
+def test_days_are_looked_up_without_files(spark, logs):
+    database = entry._database(spark, SF)
+    assert "Scan parquet" not in plan(reports.date_range(database.days(ACCESS_LOGS)))
+    top = reports.latest_top(database.table(DAILY_TOP_IPS), "ip_address", database.days(DAILY_TOP_IPS))
+    assert plan(top).count("ReadSchema") == 1 and "subquery" in partition_filters(plan(top)).lower()
+
+
+def test_whole_table_summary_copies_no_rows(spark, logs):
+    text = plan(reports.data_range_summary(logs, entry._database(spark, SF).days(ACCESS_LOGS)))
+    assert "Expand" not in text and text.count("ReadSchema") == 1
