@@ -10,7 +10,7 @@ from __future__ import annotations
 import sys
 import uuid
 from collections.abc import Callable
-from functools import wraps
+from functools import reduce, wraps
 from pathlib import Path
 from typing import TypeVar
 
@@ -22,18 +22,21 @@ from hitledger.functions import derived  # noqa: E402
 from hitledger.operators import parsing, reports, topn  # noqa: E402
 from hitledger.operators.enrich import access_logs  # noqa: E402
 from hitledger.plans import batch  # noqa: E402
+from hitledger.plans.batch import LoadOptions  # noqa: E402
 from hitledger.schemas import (  # noqa: E402
     ACCESS_LOGS,
     DAILY_TOP_DEVICES,
     DAILY_TOP_IPS,
     TOP_TABLES,
+    WEEKLY_TOP_IPS,
     TableSpec,
+    TopTableSpec,
 )
 from hitledger.session import configure_session, scratch_dir  # noqa: E402
 from hitledger.sinks.catalog import LogDatabase  # noqa: E402
 from hitledger.sources import text_logs  # noqa: E402
-from hitledger.sources.event_lines import event_lines  # noqa: E402
 from oracle import access_log_sql  # noqa: E402
+from oracle.event_lines import event_lines  # noqa: E402
 
 try:  # the text operators and their pipeline are optional
     import corpus_pipeline  # noqa: E402
@@ -94,17 +97,56 @@ def _archive(spark: SparkSession, sf_dir: str) -> str:
     return f"{root}/*/*/*/*.gz"
 
 
+def _new_database(spark: SparkSession) -> LogDatabase:
+    run_id = uuid.uuid4().hex
+    location = f"{scratch_dir(spark)}/hitledger-{run_id}/warehouse"
+    return LogDatabase(spark, location, f"hitledger_{run_id}")
+
+
+# The databases below are loaded once per session and data set, which a name of its own makes
+# safe only as long as the files at a path stay as they are.
+
+
 @_once
 def _database(spark: SparkSession, sf_dir: str) -> LogDatabase:
     """The five tables, loaded from the archive by the batch load."""
-    run_id = uuid.uuid4().hex
     lines = text_logs.scan_lines(spark, _archive(spark, sf_dir))
-    location = f"{scratch_dir(spark)}/hitledger-{run_id}/warehouse"
-    database = LogDatabase(spark, location, f"hitledger_{run_id}")
+    database = _new_database(spark)
     batch.run(lines, database)
     return database
 
 
+@_once
+def _loaded_twice(spark: SparkSession, sf_dir: str) -> LogDatabase:
+    """The same lines appended two times."""
+    database = _new_database(spark)
+    for _ in range(2):
+        batch.run(_lines(spark, sf_dir), database)
+    return database
+
+
+@_once
+def _loaded_in_halves(spark: SparkSession, sf_dir: str) -> LogDatabase:
+    """Two appends of other lines each, with rankings of ten; the second refreshes in part."""
+    database = _new_database(spark)
+    for half in range(2):
+        lines = _lines(spark, sf_dir).where(F.col("event_id") % 2 == half)
+        batch.run(lines, database, LoadOptions(top_n=10))
+    return database
+
+
+@_once
+def _loaded_again(spark: SparkSession, sf_dir: str) -> LogDatabase:
+    """A load that lacks some lines of one day's directory, and then that day replaced."""
+    day = text_logs.parse_day(DAY)
+    archive, database = _archive(spark, sf_dir), _new_database(spark)
+    lacking = (F.col("log_day") == F.lit(day)) & (F.col("event_id") % 3 > 0)
+    batch.run(_lines(spark, sf_dir).where(~lacking), database)
+    around = text_logs.scan_around_days(spark, archive, [day], hive_layout=True)
+    batch.run(around, database, LoadOptions(mode="replace", replace_days=(day,)))
+    return database
+
+
 def _stored(spark: SparkSession, sf_dir: str, spec: TableSpec) -> DataFrame:
     return _database(spark, sf_dir).table(spec)
 
@@ -162,6 +204,100 @@ def _table_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.table_row_counts(_database(spark, sf_dir).tables())
 
 
+def _load_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with and without a load time that lies in the life of the session, per table."""
+    stamp = F.col("processed_timestamp")
+    begun = F.timestamp_millis(F.lit(spark.sparkContext.startTime))
+    good = F.coalesce(stamp.between(begun, F.current_timestamp()), F.lit(False))
+    counts = [
+        table.agg(
+            F.count_if(good).alias("rows_with_time"), F.count_if(~good).alias("rows_without")
+        ).select(F.lit(name).alias("table_name"), "*")
+        for name, table in _database(spark, sf_dir).tables().items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def _append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    database = _loaded_twice(spark, sf_dir)
+    rows = database.table(ACCESS_LOGS).groupBy("date").agg(F.count("*").alias("rows_of_day"))
+    return _comparable(database.table(DAILY_TOP_IPS)).join(rows, "date")
+
+
+def _latest_top(spec: TopTableSpec, load: Callable[[SparkSession, str], LogDatabase]) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        database = load(spark, sf_dir)
+        return reports.latest_top(database.table(spec), spec.item, database.days(spec))
+
+    return query
+
+
+def _with_days(report: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
+    """A report on the rows and the listed days of ``access_logs``."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        database = _database(spark, sf_dir)
+        return report(database.table(ACCESS_LOGS), database.days(ACCESS_LOGS))
+
+    return query
+
+
+def _rejects_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines without a row, the reason, and the day of the directory their file is in."""
+    lines = text_logs.scan_lines_by_file(spark, _archive(spark, sf_dir))
+    parts = [F.regexp_extract("file_path", f"/{key}=([0-9]+)/", 1) for key in text_logs.DAY_KEYS]
+    return parsing.dropped_lines(lines).select(
+        F.concat_ws("-", *parts).alias("file_day"), "value", "reason"
+    )
+
+
+def _bad_time_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dropped = parsing.dropped_lines(_lines(spark, sf_dir))
+    return dropped.where(F.col("reason") == "time").drop("reason")
+
+
+def _line_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines, those of either reason to drop them, and the rows of the loaded table."""
+    lines = _lines(spark, sf_dir)
+    dropped = parsing.dropped_lines(lines).agg(
+        F.count_if(F.col("reason") == "pattern").alias("bad_format"),
+        F.count_if(F.col("reason") == "time").alias("bad_time"),
+    )
+    kept = _stored(spark, sf_dir, ACCESS_LOGS).agg(F.count("*").alias("rows_kept"))
+    read = lines.agg(F.count("*").alias("lines_read"))
+    return read.select(
+        "lines_read",
+        *[dropped.select(name).scalar().alias(name) for name in dropped.columns],
+        kept.scalar().alias("rows_kept"),
+    )
+
+
+# Statements as a user types them, on the tables of the database in use.
+SQL_TEXTS = {
+    "sql_daily_traffic": f"""
+        SELECT date, COUNT(*) AS requests, COUNT(DISTINCT ip_address) AS unique_ips,
+               AVG(response_size) AS avg_response_size
+        FROM {{logs}} WHERE date >= DATE '{SINCE}' GROUP BY date ORDER BY date""",
+    "sql_device_share": f"""
+        SELECT device_type, COUNT(*) AS requests, COUNT(DISTINCT ip_address) AS unique_ips
+        FROM {{logs}}
+        WHERE date BETWEEN DATE '{SINCE}' AND DATE '{LAST}' AND NOT COALESCE(is_bot, FALSE)
+        GROUP BY device_type ORDER BY requests DESC, device_type""",
+    "sql_weekly_leaders": """
+        SELECT year, week_of_year, ip_address, request_count
+        FROM {weekly} WHERE rank = 1 ORDER BY year, week_of_year""",
+}
+
+
+def _sql_text(text: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        database = _database(spark, sf_dir)
+        names = {"logs": ACCESS_LOGS.name, "weekly": WEEKLY_TOP_IPS.name}
+        return spark.sql(text.format(**{k: database.qualified(v) for k, v in names.items()}))
+
+    return query
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Five busiest addresses of every day."""
     return topn.top_requests(_logs(spark, "/root/testdata/sf0.001"), DAILY_TOP_IPS)
@@ -198,9 +334,9 @@ def access_log_queries() -> dict[str, Query]:
         {
             "pipeline_access_logs": _on_table(ACCESS_LOGS, lambda logs: logs),
             "table_row_counts": _table_row_counts,
-            "date_range": _on_table(ACCESS_LOGS, reports.date_range),
-            "data_range_summary": _on_table(ACCESS_LOGS, reports.data_range_summary),
-            "recent_daily_summary": _on_table(ACCESS_LOGS, reports.recent_daily_summary),
+            "date_range": _with_days(lambda logs, days: reports.date_range(days)),
+            "data_range_summary": _with_days(reports.data_range_summary),
+            "recent_daily_summary": _with_days(reports.recent_daily_summary),
             "daily_traffic": _on_table(
                 ACCESS_LOGS, lambda logs: reports.daily_traffic(logs, SINCE)
             ),
@@ -213,12 +349,29 @@ def access_log_queries() -> dict[str, Query]:
             "hour_slice": _on_table(
                 ACCESS_LOGS, lambda logs: reports.hour_slice(logs, DAY, FIRST_HOUR, LAST_HOUR)
             ),
-            "latest_daily_top_ips": _on_table(
-                DAILY_TOP_IPS, lambda top: reports.latest_top(top, "ip_address")
+            "latest_daily_top_ips": _latest_top(DAILY_TOP_IPS, _database),
+            "latest_daily_top_devices": _latest_top(DAILY_TOP_DEVICES, _database),
+            "latest_daily_top_ips_10": _latest_top(DAILY_TOP_IPS, _loaded_in_halves),
+            "weekly_report": _on_table(
+                WEEKLY_TOP_IPS,
+                lambda top: reports.top_by_week(top, "ip_address", int(SINCE[:4]), int(LAST[:4])),
+            ),
+            "weekly_top_ips_iso": _on_logs(
+                lambda logs: topn.top_requests(logs, WEEKLY_TOP_IPS, week_year="iso")
+            ),
+            "append_twice": _append_twice,
+            "refresh_touched": lambda spark, sf_dir: _comparable(
+                _loaded_in_halves(spark, sf_dir).table(WEEKLY_TOP_IPS)
             ),
-            "latest_daily_top_devices": _on_table(
-                DAILY_TOP_DEVICES, lambda top: reports.latest_top(top, "device_type")
+            "replace_one_day": lambda spark, sf_dir: _comparable(
+                _loaded_again(spark, sf_dir).table(ACCESS_LOGS)
             ),
+            "load_times": _load_times,
+            "rejects_by_file": _rejects_by_file,
+            "bad_time_lines": _bad_time_lines,
+            "line_accounts": _line_accounts,
+            **{f"stored_{spec.name}": _on_table(spec, lambda top: top) for spec in TOP_TABLES},
+            **{name: _sql_text(text) for name, text in SQL_TEXTS.items()},
             "top_ips_on_day": _on_table(DAILY_TOP_IPS, lambda top: reports.top_on_day(top, DAY)),
         }
     )

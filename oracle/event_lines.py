@@ -17,28 +17,33 @@ SHIFT_DAYS = 350
 BUSY_ADDRESS = "203.0.113.9"
 METHODS = ("GET", "GET", "GET", "POST", "PUT", "DELETE", "HEAD")
 STATUSES = (200, 200, 200, 201, 204, 301, 304, 400, 403, 404, 500, 503, 199, 999)
-REFERERS = ("-", "https://www.google.com/", "", "https://www.example.com/")
+REFERERS = ("-", "", "https://shop.example/cart?step=2", "android-app://reader.example")
+# One agent for each device label and bot word, and some in which words compete.
 AGENTS = (
-    "Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 Chrome/91.0 Safari/537.36",
-    "Mozilla/5.0 (iPhone; CPU iPhone OS 14_2) Version/14.0 Mobile/15E148 Safari/604.1",
-    "Mozilla/5.0 (Linux; Android 11; SM-G991B) Chrome/91.0 Mobile Safari/537.36",
-    "Mozilla/5.0 (Macintosh; Intel Mac OS X 10_15_7) Version/14.1 Safari/605.1.15",
-    "Mozilla/5.0 (X11; Linux x86_64; rv:120.0) Gecko Firefox/120.0",
     "-",
     "",
-    "Mozilla/5.0 (iPad; U; CPU OS 3_2) Version/4.0 Safari/531.21",
-    "Foo Tablet 1",
-    "Edge/1",
-    "Opera/9.80",
-    "Googlebot/2.1",
-    "Mozilla/5.0 (compatible; Googlebot/2.1) Chrome/99 Safari/537",
-    "Yahoo! Slurp",
-    "curl/7.68.0",
-    "BlackBerry Mobile",
-    "CUBOT Android 9",
-    "ExampleCrawler/1.0",
-    "Some-Spider",
-    "page SCRAPER",
+    "okhttp/4.12 Android 14",
+    "FeedApp/7 iPhone17,1",
+    "iPod touch music",
+    "KaiOS mobile 3.1",
+    "iPad reader/2.0",
+    "Kids Tablet 10 inch",
+    "Chrome/131",
+    "Firefox/133",
+    "Safari/18.1",
+    "Edge/18",
+    "Opera/12.16 Presto",
+    "linkbot/0.3",
+    "site-crawler 2",
+    "spiderling/9",
+    "price scraper",
+    "slurp relay",
+    "wget 1.24",
+    "Chrome/130 with Safari/537 inside",
+    "newsbot on Chrome/120",
+    "TABLET spelled large, Mobile too",
+    "iPad and Android in one",
+    "Edge/17 Chrome/64",
 )
 
 
@@ -91,7 +96,7 @@ def event_lines(events: DataFrame) -> DataFrame:
     event, user = F.col("event_id"), F.col("user_id")
     flaw = event % 53
     status = _pick(STATUSES, F.expr("event_id div 3"))
-    size = ((event * 7919) % 4501 + 500).cast("string")
+    size = ((event * 6007) % 90001).cast("string")
     line = format_access_line(
         ip_address=_address(event, user),
         time_text=_time_text(event, flaw),
