@@ -7,6 +7,7 @@ shared scratch folder.
 
 from __future__ import annotations
 
+import os
 import sys
 import uuid
 from collections.abc import Callable
@@ -16,7 +17,8 @@ from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-sys.path.insert(0, str(Path(__file__).resolve().parent))
+ROOT = str(Path(__file__).resolve().parent)
+sys.path.insert(0, ROOT)
 
 from hitledger.functions import derived  # noqa: E402
 from hitledger.operators import parsing, reports, topn  # noqa: E402
@@ -378,11 +380,25 @@ def access_log_queries() -> dict[str, Query]:
     return named
 
 
+def _with_package(query: Query) -> Query:
+    """Let the Python workers of a session that is already there import this repository."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        variables = spark.sparkContext.environment
+        before = variables.get("PYTHONPATH", "")
+        if ROOT not in before.split(os.pathsep):
+            variables["PYTHONPATH"] = os.pathsep.join(filter(None, (ROOT, before)))
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
     named = access_log_queries()
     if llm is not None:
-        named.update(llm.queries())
-        named["pipeline"] = corpus_pipeline.run
+        texts = {**llm.queries(), "pipeline": corpus_pipeline.run}
+        named.update({name: _with_package(query) for name, query in texts.items()})
     return named
 
 
