@@ -60,7 +60,12 @@ find_words: Callable[[str], list[str]] = re.compile(r"[^\W\d_]+").findall
 
 
 def words_of(text: str | None) -> list[str]:
-    return find_words(text.lower()) if text else []
+    """Runs of letters in lower case."""
+    found = find_words(text.lower()) if text else []
+    if found and not "".join(found).isalpha():  # fractions and the like pass for word characters
+        letters = "".join([c if c.isalpha() else " " for c in " ".join(found)])
+        found = letters.split()
+    return found
 
 
 @dataclass

@@ -83,6 +83,7 @@ def test_edge_cases(spark):
     rows = [(i, english, "en", "x", 1) for i in range(30)]
     rows += [(100 + i, "der die das und nicht ein eine sein " * 4, "de", "x", 1) for i in range(30)]
     rows += [(200, None, "en", "x", 1), (201, "12 34 !", None, "x", 1), (202, "", "de", "x", 1)]
+    rows += [(206, "½ ² 7 Ⅷ", "en", "x", 1)]
     rows += [(203, "the other mother", None, "x", 1)] * 2
     rows += [(204, "жизнь прекрасна и удивительна каждый день", None, "x", 1)]
     rows += [(205, "that heat " * 120_000, None, "x", 1), (None, "nicht sein", None, "x", 1)]
@@ -90,7 +91,7 @@ def test_edge_cases(spark):
     model = langid.train(df, F.lit(True))
     got = {r["doc_id"]: r for r in langid.identify(df, model).collect()}
     assert langid.identify(df, model).count() == len(rows)
-    for key in (200, 201, 202):
+    for key in (200, 201, 202, 206):
         assert (got[key]["lang_pred"], got[key]["score"], got[key]["rejected"]) == ("und", 0.0, True)
     assert got[203]["lang_pred"] == got[205]["lang_pred"] == "en" and not got[203]["rejected"]
     assert got[204]["rejected"] and got[None]["lang_pred"] == "de"

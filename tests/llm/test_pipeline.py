@@ -86,5 +86,5 @@ def test_it_is_registered():
     import __spark_entry__ as entry
 
     named = entry.queries()
-    assert named["pipeline"] is corpus_pipeline.run and set(queries()) <= set(named)
+    assert {"pipeline", *queries()} <= set(named)
     assert [name.split("_")[0] for name in queries()] == [f"op{n}" for n in range(1, 11)]
