@@ -60,10 +60,10 @@ def test_top_k_over_many_blocks(spark, monkeypatch):
 
 
 def test_sums_beyond_doubles_are_exact(spark):
-    rows = [(0, [1e9, 3.0]), (1, [4e6, 1.0]), (2, [4e6, 2.0]), (3, [-1e9, 1e9])]
+    rows = [(0, [1e8, 3.0]), (1, [4e6, 1.0]), (2, [4e6, 2.0]), (3, [-1e8, 1e8])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = {r["vec_id"]: r["score"] for r in topk.top_k(df, F.col("vec_id") == 0).collect()}
-    a = [64 * 10**9, 192]
+    a = [64 * 10**8, 192]
     assert got[1] == a[0] * 64 * 4 * 10**6 + a[1] * 64 and got[2] - got[1] == a[1] * 64
 
 
