@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from hitledger.llm.words import NOT_ALNUM, chunks, separators_of, split_words, windows
+from hitledger.llm.words import NOT_ALNUM, chunks, separators_of, slices, split_words, windows
 
 #: Template tokens of a window, and of the shortest item that is sought.
 WINDOW, SHORTEST = 12, 5
@@ -209,7 +209,7 @@ def findings(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        for batch in batches:
+        for batch in (part for batch in batches for part in slices(batch, 2)):
             texts = _encoded(batch.column(2).to_pylist())
             at, keys, slots = [], [], []
             for run in chunks([len(text) for text in texts]):

@@ -49,11 +49,12 @@ CALIBRATION_GAP = 1.5
 CALIBRATION_CHARACTERS = 400
 #: Distinct words of one language a counting task holds before it hands on counts, and scored
 #: words a worker keeps.
-HELD_WORDS = 200_000
-CACHED_WORDS = 300_000
-#: Words of a long text that are scored at once, and characters of short ones.
+HELD_WORDS = 60_000
+CACHED_WORDS = 150_000
+#: Words whose characters are worked on as arrays at once.
+ARRAY_WORDS = 20_000
+#: Words that are scored at once.
 PART_WORDS = 100_000
-PART_CHARS = 1 << 20
 
 START, END = "\x02", "\x03"
 find_words: Callable[[str], list[str]] = re.compile(r"[^\W\d_]+").findall
@@ -281,7 +282,10 @@ class WordScores:
         if new:
             listed = list(new)
             first = len(self.rows)
-            self.scores[first : first + len(listed)] = log_probabilities(self.model, listed)
+            for at in range(0, len(listed), ARRAY_WORDS):
+                part = listed[at : at + ARRAY_WORDS]
+                to = slice(first + at, first + at + len(part))
+                self.scores[to] = log_probabilities(self.model, part)
             self.rows.update(zip(listed, range(first, first + len(listed)), strict=True))
         at = np.fromiter(map(self.rows.__getitem__, words), dtype=np.int64, count=len(words))
         return self.scores[at]

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from hitledger.llm.components import components
 from hitledger.llm.tables import stored
-from hitledger.llm.words import SPACES, chunks, mix, split_words, windows
+from hitledger.llm.words import SPACES, chunks, mix, slices, split_words, windows
 
 BANDS, BAND_ROWS = 32, 4
 MINIMA = BANDS * BAND_ROWS
@@ -256,7 +256,7 @@ def digests(rows: DataFrame, words: int, key: str, text: str) -> DataFrame:
     """id, number of shingles, fingerprint of the set, packed fields and band keys."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for batch in batches for part in slices(batch, 1)):
             sets = shingle_sets(batch.column(1).to_pylist(), words)
             values = [minima(found) if len(found) else None for found in sets]
             yield pa.RecordBatch.from_arrays(
@@ -288,7 +288,7 @@ def whole_sets(rows: DataFrame, nodes: DataFrame, words: int, key: str, text: st
     """node, shingles and bitmap of the texts that are candidates."""
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for batch in batches for part in slices(batch, 1)):
             sets = shingle_sets(batch.column(1).to_pylist(), words)
             yield pa.RecordBatch.from_arrays(
                 [

@@ -10,12 +10,16 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Odd multiplier of the byte polynomial; any odd number works, all tasks need the same one.
 BASE = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
 #: Bytes of text that are worked on together; a longer text is worked on alone.
 CHUNK_BYTES = 1 << 20
+#: Bytes of text of the rows that a worker takes out of a batch at once.
+SLICE_BYTES = 4 << 20
 
 _powers: dict[str, np.ndarray] = {}
 
@@ -112,6 +116,19 @@ def chunks(sizes: list[int], limit: int = CHUNK_BYTES) -> Iterator[range]:
         yield range(start, len(sizes))
 
 
+def slices(batch: pa.RecordBatch, text: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with at most limit bytes in a text column, or with one longer text.
+
+    A batch may hold far more text than a worker should have as Python objects at once. An
+    empty batch gives itself.
+    """
+    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
+    if not sizes:
+        yield batch
+    for run in chunks(sizes, limit):
+        yield batch.slice(run.start, len(run))
+
+
 def windows(hashes: np.ndarray, size: int) -> np.ndarray:
     """Hash of every run of size neighbouring hashes; entry i covers i to i + size - 1."""
     if len(hashes) < size:
