@@ -48,12 +48,13 @@ def _fits(level: str, name: str) -> bool:
     return "{" in level or fnmatchcase(name, level)
 
 
-def day_path(path: str, day: date, hive_layout: bool = False) -> str:
+def day_path(path: str, day: date, hive_layout: bool = False, neighbour: bool = False) -> str:
     """``path`` with its three day levels, those before the file, set to one day.
 
     Everything else of a glob stays as it is given. A path without any pattern is taken for
     an archive's root. Directories are ``YYYY/MM/DD``, or ``year=YYYY/month=MM/day=DD`` as
-    this module's export and other Hive-style writers lay them out.
+    this module's export and other Hive-style writers lay them out. A ``neighbour`` of a day
+    that the glob holds need not be in the glob's month or year itself.
     """
     names = [f"{day:%Y}", f"{day:%m}", f"{day:%d}"]
     if hive_layout:
@@ -61,7 +62,8 @@ def day_path(path: str, day: date, hive_layout: bool = False) -> str:
     if not any(sign in path for sign in "*?[{"):
         return "/".join([path.rstrip("/"), *names, "*.gz" if hive_layout else LOG_FILES])
     *before, year, month, day_level, files = path.split("/")
-    if len(before) < 1 or not all(map(_fits, (year, month, day_level), names)):
+    held = neighbour or all(map(_fits, (year, month, day_level), names))
+    if len(before) < 1 or not held:
         raise ValueError(
             f"{path!r} does not end in levels for year, month, day and file that hold {day}"
         )
@@ -85,20 +87,20 @@ def scan_around_days(
     """Lines of the directories that can hold rows of the days, for a load that replaces them.
 
     An offset moves a row over midnight by up to a day, so the directories next to a day are
-    read as well. Those of the days themselves must exist, their neighbours need not.
+    read as well, also where the glob names one month or year and they lie in another. Those
+    of the days themselves must exist and be in the glob, their neighbours need not.
     """
     wanted = set(days)
+    for day in wanted:
+        day_path(path, day, hive_layout)
     near = {day + timedelta(days=i) for day in wanted for i in (-1, 0, 1)}
     parts = []
     for day in sorted(near):
         try:
-            parts.append(scan_one_day(spark, path, day, hive_layout, spread))
+            parts.append(scan_lines(spark, day_path(path, day, hive_layout, neighbour=True), spread))
         except AnalysisException as error:
             if day in wanted or error.getCondition() != "PATH_NOT_FOUND":
                 raise
-        except ValueError:  # a glob of one month or year has no directory for the neighbour
-            if day in wanted:
-                raise
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -152,6 +152,22 @@ def test_replacing_reads_the_neighbours(spark, database, tmp_path):
         assert stored(database) == before
 
 
+@pytest.mark.parametrize("glob", ["2025/01/*/*.gz", "2025/01/31/*.gz", "2025/*/*/*.gz"])
+def test_replacing_reads_neighbours_that_the_glob_excludes(spark, database, tmp_path, glob):
+    for day, times in {"2025/01/31": ["10:00:00 +0000"], "2025/02/01": ["00:10:00 +0900", "10:00:00 +0000"]}.items():
+        folder = tmp_path / day
+        folder.mkdir(parents=True)
+        with gzip.open(folder / "x.gz", "wt") as file:
+            stamp = dt.date.fromisoformat(day.replace("/", "-")).strftime("%d/%b/%Y")
+            file.writelines(line(stamp, time=time) + "\n" for time in times)
+    last = dt.date(2025, 1, 31)
+    lines = text_logs.scan_around_days(spark, f"{tmp_path}/{glob}", [last])
+    report = batch.run(lines, database, batch.LoadOptions(mode="replace", replace_days=(last,)))
+    assert (report.lines_read, report.rows_enriched, report.other_days) == (3, 2, 1)
+    with pytest.raises(ValueError):
+        text_logs.scan_around_days(spark, f"{tmp_path}/2025/02/*/*.gz", [last])
+
+
 @pytest.mark.parametrize("texts", [["x", "y"], ["99"] * 2])
 def test_too_many_dropped_lines_publish_nothing(spark, database, texts):
     texts = [line("05/Jan/2025"), *(line("99/Jan/2025") if text == "99" else text for text in texts)]
