@@ -30,7 +30,7 @@ NAMES = "password|passwd|pwd|passphrase|secret|token|api_?key|access_?key|privat
 _GIVEN = rf"(?i:{NAMES})[\"']? ?[=:] ?[\"']?"
 _KEY_SIGN = "[A-Za-z0-9+/_-]"
 PATTERNS = {
-    "assigned": rf"{_GIVEN}[^\s\"']{{6,200}}+",
+    "assigned": rf"{_GIVEN}[^\s\"']{{6,}}+",
     "key": rf"(?<!{_KEY_SIGN})(?={_KEY_SIGN}*?[0-9])(?<!{_GIVEN}){_KEY_SIGN}{{16,}}+={{0,2}}",
 }
 NEEDS = {"assigned": "[=:]", "key": "[0-9]"}

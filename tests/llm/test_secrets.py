@@ -85,3 +85,17 @@ def test_edge_cases(spark):
     assert secrets.scan_secrets(df.limit(0)).collect() == []
     alone = secrets.scan_secrets(df.where("doc_id = 3"), path=None).collect()
     assert [(r["score"], r["kept"]) for r in alone] == [(None, True)] * 2
+
+
+def test_long_values_are_whole(spark):
+    chance = random.Random(3)
+    signs = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"
+    values = ["".join(chance.choice(signs) for _ in range(n)) for n in (199, 200, 201, 1000, 8000)]
+    values.append(".".join(["eyJ" + value for value in values[2:]]))  # as a JWT is made
+    rows = [(i, f'x token="{value}" y', "src/main", "k", "v", 1) for i, value in enumerate(values)]
+    rows.append((9, "password=" + "a1" * 500_000, "src/main", "k", "v", 1))
+    got = [r for r in secrets.scan_secrets(spark.createDataFrame(rows, SCHEMA)).collect() if r["kind"] == "assigned"]
+    want = {i: hashed({(9, 9 + len(value), value)}) for i, value in enumerate(values)}
+    assert {r["doc_id"]: {(r["start"], r["end"], r["value_sha256"])} for r in got} == {
+        **want, 9: hashed({(9, 1_000_009, "a1" * 500_000)}),
+    }
