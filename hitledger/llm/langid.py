@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from hitledger.llm.tables import stored
 from hitledger.llm.words import mix
 
 UNDETERMINED = "und"
@@ -37,9 +38,7 @@ HASH_BITS = 18
 UNSEEN_CHARACTER = 1e-4
 #: Characters after which a score counts as certain as it gets.
 SCORE_CHARACTERS = 40
-#: Training texts, in expectation, that the rejection limits are set on; which texts depends
-#: on a hash of the key. The limit is a multiple of the excess that few of them pass.
-CALIBRATION_TEXTS = 4000
+#: The rejection limit is a multiple of the excess that few of the training texts pass.
 CALIBRATION_QUANTILE = 0.999
 CALIBRATION_FACTOR = 2.0
 #: Nats per character above the usual that no text is rejected within, so that a text is not
@@ -47,6 +46,9 @@ CALIBRATION_FACTOR = 2.0
 CALIBRATION_GAP = 1.5
 #: Longer texts get the limit of texts of this length.
 CALIBRATION_CHARACTERS = 400
+#: Steps to a nat that cross-entropies are counted in for the limits, so that a language has a
+#: bounded number of them however many its texts.
+CALIBRATION_STEPS = 2000
 #: Distinct words of one language a counting task holds before it hands on counts, and scored
 #: words a worker keeps.
 HELD_WORDS = 60_000
@@ -376,8 +378,8 @@ def train(
 ) -> Model:
     """Models of all languages in the rows known to be labelled rightly, with limits.
 
-    The driver receives one row for each order, language and entry, see HASH_BITS, and the
-    cross-entropies of about CALIBRATION_TEXTS texts.
+    The driver receives one row for each order, language and entry, see HASH_BITS, and two
+    for each language with its limits, which all training texts set.
     """
     training = _training(rows, known, lang, text)
     counts = (
@@ -394,22 +396,40 @@ def train(
     model = kneser_ney(counts.toArrow())
     if not model.languages:
         return model
-    share = min(1.0, CALIBRATION_TEXTS / max(1, training.count()))
-    sample = training.where(F.pmod(F.xxhash64(key), F.lit(1_000_000)) < int(share * 1_000_000))
-    scored = identify(sample, model, key, text).where("not rejected")
-    usual = scored.select("lang_pred", "cross_entropy", "n_letters").toArrow()
-    names = np.array(usual.column("lang_pred").to_pylist(), object)
-    entropy = usual.column("cross_entropy").to_numpy()
-    root = np.sqrt(np.minimum(usual.column("n_letters").to_numpy(), CALIBRATION_CHARACTERS))
-    for k, name in enumerate(model.languages):
-        mine = names == name
-        if mine.any():
-            model.usual[k] = np.median(entropy[mine])
-            excess = (entropy[mine] - model.usual[k]) * root[mine]
-            model.excess[k] = CALIBRATION_FACTOR * np.quantile(excess, CALIBRATION_QUANTILE)
+    _calibrate(model, training, key, text)
     return model
 
 
+def _quantiles(scored: DataFrame, value: Column, share: float) -> dict[str, float]:
+    """A quantile of a value by language, to within a step."""
+    step = F.round(value * CALIBRATION_STEPS).cast("long")
+    rows = (
+        scored.groupBy("lang_pred", step.alias("step"))
+        .agg(F.count("*").alias("texts"))
+        .groupBy("lang_pred")
+        .agg(F.percentile("step", F.lit(share), F.col("texts")).alias("step"))
+        .collect()
+    )
+    return {row["lang_pred"]: row["step"] / CALIBRATION_STEPS for row in rows}
+
+
+def _calibrate(model: Model, training: DataFrame, key: str, text: str) -> None:
+    """Set the limits from all training texts, by the language each is found to be in."""
+    found = identify(training, model, key, text).where("not rejected")
+    scored = stored(found.select("lang_pred", "cross_entropy", "n_letters"), "calibration")
+    usual = _quantiles(scored, F.col("cross_entropy"), 0.5)
+    if not usual:
+        return
+    at = scored.sparkSession.createDataFrame(list(usual.items()), "lang_pred string, usual double")
+    root = F.sqrt(F.least(F.col("n_letters"), F.lit(CALIBRATION_CHARACTERS)))
+    above = (F.col("cross_entropy") - F.col("usual")) * root
+    excess = _quantiles(scored.join(F.broadcast(at), "lang_pred"), above, CALIBRATION_QUANTILE)
+    for k, name in enumerate(model.languages):
+        if name in usual:
+            model.usual[k] = usual[name]
+            model.excess[k] = CALIBRATION_FACTOR * excess[name]
+
+
 def identify(
     rows: DataFrame, model: Model, key: str = "doc_id", text: str = "text", keep: list[str] | None = None
 ) -> DataFrame:

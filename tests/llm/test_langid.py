@@ -98,3 +98,24 @@ def test_edge_cases(spark):
     untrained = langid.train(df, F.lit(False))
     assert {r["lang_pred"] for r in langid.identify(df, untrained).collect()} == {"und"}
     assert langid.identify(df.limit(0), model).collect() == []
+
+
+def test_limits_come_from_all_texts(spark):
+    """A language with a few texts among very many gets its limits, and they are quantiles."""
+    chance = "element_at(shuffle(split('{}', ' '), {}), 1)"
+    common, rare = " ".join(WORDS), "der die das und nicht ein eine sein"
+    words = [F.expr(chance.format(common, i)) for i in range(6)]
+    english = spark.range(60_000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", *words).alias("text"), F.lit("en").alias("lang"))
+    # keys that a sample of 4000 by their hash would leave out
+    left_out = spark.range(60_000, 61_000).where("pmod(xxhash64(id), 1000000) > 500000").limit(12)
+    german = left_out.select(F.col("id").alias("doc_id"), F.lit(rare).alias("text"), F.lit("de").alias("lang"))
+    df = english.unionByName(german)
+    model = langid.train(df, F.lit(True))
+    assert np.isfinite(model.excess).all() and (model.usual > 0).all()
+    found = langid.identify(df, model).where("lang_pred = 'en'").toPandas()
+    usual = np.median(found["cross_entropy"])
+    excess = (found["cross_entropy"] - usual) * np.sqrt(np.minimum(found["n_letters"], langid.CALIBRATION_CHARACTERS))
+    at = model.languages.index("en")
+    np.testing.assert_allclose(model.usual[at], usual, atol=2e-3)
+    limit = langid.CALIBRATION_FACTOR * np.quantile(excess, langid.CALIBRATION_QUANTILE)
+    np.testing.assert_allclose(model.excess[at], limit, atol=5e-2)
