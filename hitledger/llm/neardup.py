@@ -5,7 +5,8 @@ candidates; of every minimum a few low bits are kept, packed, and the similarity
 is estimated by counting equal fields, corrected for fields that agree by chance. What the
 estimate leaves is bounded by bitmaps of the sets and then confirmed on the sets themselves.
 
-Texts with equal sets are one class and only one of them is compared. Within a bucket of
+Texts with equal sets are one class, with a number of its own, and only one of them is
+compared. Classes that hold rows of one id are linked. Within a bucket of
 candidates, two passes keep work and rows small without losing a link: the first proposes a
 spanning forest of the candidate pairs, which is confirmed and merged into components; the
 second proposes every remaining candidate pair between different components. Both run on
@@ -13,9 +14,9 @@ blocks of a bucket, so that no task holds a whole large bucket.
 
 Edge cases: white space is that of ASCII, and only A to Z are lower-cased; a text with fewer
 words than a shingle is one shingle; text that is null or has no words has no shingles and is
-linked with nothing; a row with a null id is compared with nothing, has a null component and
-is kept; rows that share an id count as linked; an empty table gives an empty result; other
-columns are not read.
+linked with nothing but rows of its id; a row with a null id is compared with nothing, has a
+null component and is kept; rows that share an id count as linked, whatever their texts; an
+empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -285,7 +286,7 @@ def digests(rows: DataFrame, words: int, key: str, text: str) -> DataFrame:
 
 
 def whole_sets(rows: DataFrame, nodes: DataFrame, words: int, key: str, text: str) -> DataFrame:
-    """node, shingles and bitmap of the texts that are candidates."""
+    """node, shingles and bitmap of the candidates, of which nodes has id, set_key and node."""
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for batch in batches for part in slices(batch, 1)):
@@ -300,15 +301,37 @@ def whole_sets(rows: DataFrame, nodes: DataFrame, words: int, key: str, text: st
                     pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
                     pa.array([bitmap(s) if len(s) else b"" for s in sets], pa.binary()),
                 ],
-                ["node", "set_key", "shingles", "bits"],
+                ["id", "set_key", "shingles", "bits"],
             )
 
-    picked = rows.select(F.col(key).cast("long").alias("node"), F.col(text).cast("string"))
-    made = picked.join(nodes.select("node"), "node", "left_semi").mapInArrow(
-        sets_of, "node long, set_key binary, shingles array<long>, bits binary"
+    picked = rows.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string"))
+    made = picked.join(nodes.select("id").distinct(), "id", "left_semi").mapInArrow(
+        sets_of, "id long, set_key binary, shingles array<long>, bits binary"
+    )
+    # other rows with the id of a class don't speak for it
+    of_class = made.join(nodes.select("id", "set_key", "node"), ["id", "set_key"])
+    return of_class.select("node", "shingles", "bits").dropDuplicates(["node"])
+
+
+def _links_of_ids(compared: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between the classes that hold rows of one id."""
+    print_of = F.xxhash64("set_key")
+    several = (
+        compared.groupBy("id")
+        .agg(F.min(print_of).alias("low"), F.max(print_of).alias("high"))
+        .where("low <> high")
+        .select("id")
     )
-    # other rows with the id of a node don't speak for its class
-    return made.join(nodes, ["node", "set_key"], "left_semi").dropDuplicates(["node"])
+    members = stored(
+        compared.select("id", "set_key")
+        .join(several, "id", "left_semi")
+        .distinct()
+        .join(classes.select("set_key", "node"), "set_key")
+        .select("id", "node"),
+        "ids",
+    )
+    least = members.groupBy("id").agg(F.min("node").alias("a"))
+    return members.join(least, "id").where("a <> node").select("a", F.col("node").alias("b"))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, least: Fraction) -> DataFrame:
@@ -384,12 +407,14 @@ def near_duplicates(
     digest = stored(digests(rows, words, key, text), "digests")
     compared = digest.where("id is not null and n > 0")
     classes = stored(
-        compared.groupBy("set_key").agg(
-            F.min("id").alias("node"),
+        compared.groupBy("set_key")
+        .agg(
+            F.min("id").alias("id"),
             F.first("n").alias("n"),
             F.first("fields").alias("fields"),
             F.first("bands").alias("bands"),
-        ),
+        )
+        .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
     keyed = classes.select("node", F.explode("bands").alias("key"))
@@ -408,28 +433,41 @@ def near_duplicates(
     )
     members = stored(keyed.join(buckets, "key"), "members")
     nodes = members.select("node").distinct()
-    candidates = classes.join(nodes, "node", "left_semi").select("node", "set_key", "n", "fields")
+    candidates = classes.join(nodes, "node", "left_semi").select("id", "set_key", "node", "n", "fields")
     sets = stored(whole_sets(rows, candidates, words, key, text), "sets")
-    sketches = candidates.join(sets.select("node", "set_key", "bits"), ["node", "set_key"]).select(
-        "node", "n", "fields", "bits"
-    )
-    first = stored(_confirmed(_propose(members, sketches, None, least), sets, least), "links")
-    # classes that share an id are one node, and so linked
+    sketches = candidates.select("node", "n", "fields").join(sets.select("node", "bits"), "node")
+    similar = _confirmed(_propose(members, sketches, None, least), sets, least)
+    first = stored(similar.unionByName(_links_of_ids(compared, classes)), "links")
     merged = components(first)
     rest = _confirmed(_propose(members, sketches, merged, least), sets, least)
     final = components(stored(first.unionByName(rest), "links"))
-    labels = classes.select("set_key", "node").join(final, "node", "left").select(
-        "set_key", F.coalesce("component", "node").alias("component")
+    ids = stored(final.join(classes.select("node", "id"), "node"), "joined")
+    smallest = ids.groupBy("component").agg(F.min("id").alias("smallest"))
+    joined = ids.join(smallest, "component").select("node", "smallest")
+    labels = classes.select("set_key", "node", "id").join(joined, "node", "left").select(
+        "set_key", F.coalesce("smallest", "id").alias("component")
     )
-    return _with_components(digest, labels, key)
+    return _with_components(digest, stored(labels, "labels"), key)
 
 
 def _with_components(digest: DataFrame, labels: DataFrame, key: str) -> DataFrame:
     component = F.when(F.col("id").isNotNull(), F.coalesce(F.col("component"), F.col("id")))
     kept: Column = F.coalesce(F.col("id") == F.col("component_id"), F.lit(True))
+    rows = digest.select("id", "n", F.when(F.col("n") > 0, F.col("set_key")).alias("set_key"))
+    empty = F.coalesce(F.col("n") == 0, F.lit(False))
+    # a row without shingles goes where the other rows of its id are
+    bare = rows.where(empty & F.col("id").isNotNull()).select("id").distinct()
+    of_id = (
+        rows.where(~empty)
+        .join(bare, "id", "left_semi")
+        .join(labels, "set_key")
+        .groupBy("id")
+        .agg(F.min("component").alias("component"))
+    )
+    whole = rows.where(~empty).join(labels, "set_key", "left").select("id", "n", "component")
+    rest = rows.where(empty).join(of_id, "id", "left").select("id", "n", "component")
     return (
-        digest.select("id", "n", F.when(F.col("n") > 0, F.col("set_key")).alias("set_key"))
-        .join(labels, "set_key", "left")
+        whole.unionByName(rest)
         .withColumn("component_id", component)
         .select(
             F.col("id").alias(key), F.col("n").alias("n_shingles"), "component_id", kept.alias("kept")
@@ -447,7 +485,8 @@ def without_copies(
     """The rows, whole, of which one stays of every near-duplicate group.
 
     The row with the group's smallest id stays; of several with that id, the one with the
-    smallest hash. Rows with a null id all stay.
+    smallest hash. Rows of one id are in one group, so the id alone tells whether they stay.
+    Rows with a null id all stay.
     """
     marked = near_duplicates(rows, words, similarity, key, text).where(F.col(key).isNotNull())
     held = stored(marked.where("kept").groupBy(key).agg(F.count("*").alias("copies")), "kept")

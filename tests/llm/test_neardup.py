@@ -89,3 +89,33 @@ def test_estimate_is_corrected_for_chance(spark):
     ]
     estimate = neardup.estimated_similarity(neardup.equal_fields(*fields))
     assert abs(estimate - 4000 / 6000) < 0.16
+
+
+def test_rows_that_share_an_id_but_not_a_text(spark):
+    chance = random.Random(8)
+
+    def words(n: int) -> list[str]:
+        return [f"w{chance.randrange(10**6)}" for _ in range(n)]
+
+    texts = {name: words(80) for name in "ABCDE"}
+    near = {name: " ".join([*text[:-1], "other"]) for name, text in texts.items()}
+    whole = {name: " ".join(text) for name, text in texts.items()}
+    hot = [words(40) for _ in range(60)]  # one id over many texts, each with a copy elsewhere
+    rows = [
+        (5, whole["A"]), (5, whole["B"]), (9, near["B"]),
+        (13, whole["C"]), (15, whole["C"]), (15, whole["D"]), (17, near["D"]), (15, ""), (16, ""),
+        (21, whole["E"]), (22, near["E"]), (None, whole["A"]),
+        *[(30, " ".join(text)) for text in hot],
+        *[(100 + i, " ".join([*text[:-1], "other"])) for i, text in enumerate(hot)],
+    ]
+    want = {5: 5, 9: 5, 13: 13, 15: 13, 16: 16, 17: 13, 21: 21, 22: 21, None: None, 30: 30}
+    want |= {100 + i: 30 for i in range(60)}
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame([(*row, "x", 1) for row in order], SCHEMA)
+        got = neardup.near_duplicates(df).collect()
+        assert sorted((r["doc_id"] or 0, r["component_id"] or 0) for r in got) == sorted(
+            (key or 0, want[key] or 0) for key, _ in rows
+        )
+        assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
+        left = [r["doc_id"] for r in neardup.without_copies(df).collect()]
+        assert sorted(left, key=lambda key: key or 0) == [None, 5, 13, 16, 21, 30]
