@@ -6,13 +6,17 @@ with the windows of the benchmark. A joined window counts if its slots are consi
 values on one side stand against equal values on the other, so a question asked again with
 other numbers and names is found, and an unrelated text of the same shape is not.
 
-A window needs a share of literal words. Before the join, windows pass a bitmap of the
-benchmark's hashes; its size is fixed, so a larger benchmark only lets more windows through to
-the join, which is exact.
+What a window's first word is taken for hangs on what stands before it, so windows of the
+benchmark are sought in every reading of it, and in a text a window may begin with the last word
+of a placeholder. A template window needs a share of literal words. Exact copies need none:
+windows of the plain lower-cased words are joined as well. Before the join, windows pass a
+bitmap of the benchmark's hashes; its size is fixed, so a larger benchmark only lets more
+windows through to the join, which is exact.
 
 Edge cases: null or empty text, or one shorter than every window, has no findings; benchmark
-rows with null id or text or too few words are not sought; an item shorter than a window is
-sought as a whole; repeated rows are found alike, one finding for each key, text and item; a
+rows with null id or text are not sought, nor those of fewer than FEWEST words, which not_sought
+counts; an item shorter than a window is sought as a whole, one of fewer than SHORTEST template
+tokens word by word only; repeated rows are found alike, one finding for each key, text and item; a
 null key is carried along; an empty table gives an empty result; other columns are not read.
 """
 
@@ -27,8 +31,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from hitledger.llm.words import NOT_ALNUM, chunks, separators_of, slices, split_words, windows
 
-#: Template tokens of a window, and of the shortest item that is sought.
-WINDOW, SHORTEST = 12, 5
+#: Template tokens or words of a window, tokens of the shortest item whose template is sought,
+#: and words of the shortest item that is sought word by word.
+WINDOW, SHORTEST, FEWEST = 12, 5, 3
 #: Share of a window that must be words rather than placeholders.
 LITERAL_SHARE = 0.5
 #: Bits of the bitmap that windows pass before the join.
@@ -47,6 +52,7 @@ UNITS = (
 ).split()
 _ENDERS = separators_of(b".!?:;\n\r")
 #: Stand-ins for the placeholders' hashes; words never hash to such small numbers in practice.
+_PLAIN = np.uint64(0x5851F42D4C957F2D)  # tells windows of words from those of templates
 _PLACEHOLDERS = np.array([0, 11, 22, 33], dtype=np.uint64)
 
 
@@ -65,7 +71,10 @@ def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Templates:
-    """Template tokens of several texts: hash, type, owner and byte range."""
+    """Template tokens of several texts: hash, type, owner, byte range, start of the last word.
+
+    word_hashes and word_owner are those of the words that the tokens are made of.
+    """
 
     raw: bytes
     hashes: np.ndarray
@@ -73,17 +82,28 @@ class Templates:
     owner: np.ndarray
     starts: np.ndarray
     ends: np.ndarray
-
-    def slots(self, first: int, size: int) -> list[str]:
-        """Type and text of the placeholders of a window."""
+    last_starts: np.ndarray
+    word_hashes: np.ndarray
+    word_owner: np.ndarray
+
+    def slots(self, first: int, size: int, last_word: bool = False) -> list[str]:
+        """Type and text of the placeholders of a window; of the first only its last word, if asked."""
+        starts = self.starts[first : first + size].copy()
+        if last_word:
+            starts[0] = self.last_starts[first]
         return [
-            f"{self.kinds[i]}:{self.raw[self.starts[i] : self.ends[i]].decode('utf-8', 'replace')}"
-            for i in range(first, first + size)
+            f"{self.kinds[i]}:{self.raw[start : self.ends[i]].decode('utf-8', 'replace')}"
+            for i, start in zip(range(first, first + size), starts, strict=True)
             if self.kinds[i]
         ]
 
 
-def templates(texts: list[bytes]) -> Templates:
+def templates(texts: list[bytes], behind_kind: int = WORD) -> Templates:
+    """Tokens of texts that begin a sentence, or that a word or number stands before.
+
+    behind_kind tells what a text's first word is taken for: WORD at a beginning, NAME inside a
+    sentence, UNIT behind a number, each only if the word allows for it.
+    """
     words = split_words(texts, NOT_ALNUM)
     raw = b" ".join(texts) + b" "
     buffer = np.frombuffer(raw, dtype=np.uint8)
@@ -91,7 +111,11 @@ def templates(texts: list[bytes]) -> Templates:
     starts, ends = words.starts, words.ends
     enders = np.concatenate(([0], np.cumsum(_ENDERS[buffer])))
     begins = np.ones(len(starts), dtype=bool)  # the first word of a text or sentence
-    begins[1:] = (owner[1:] != owner[:-1]) | (enders[starts[1:]] > enders[ends[:-1]])
+    firsts = np.ones(len(starts), dtype=bool)
+    firsts[1:] = owner[1:] != owner[:-1]
+    begins[1:] = firsts[1:] | (enders[starts[1:]] > enders[ends[:-1]])
+    if behind_kind != WORD:
+        begins &= ~firsts
     head, second = buffer[starts], buffer[starts + 1]
     digit = (head >= 48) & (head <= 57)
     capital = (head >= 65) & (head <= 90) & ~((second >= 65) & (second <= 90))
@@ -99,8 +123,8 @@ def templates(texts: list[bytes]) -> Templates:
     kinds = np.zeros(len(starts), dtype=np.int8)
     kinds[capital & ~begins] = NAME
     kinds[digit | _among(words.hashes, _NUMBER_HASHES)] = NUMBER
-    behind = np.zeros(len(starts), dtype=bool)
-    behind[1:] = (kinds[:-1] == NUMBER) & (owner[1:] == owner[:-1])
+    behind = firsts & (behind_kind == UNIT)
+    behind[1:] |= (kinds[:-1] == NUMBER) & (owner[1:] == owner[:-1])
     kinds[behind & (kinds != NUMBER) & _among(words.hashes, _UNIT_HASHES)] = UNIT
     joined = np.zeros(len(starts), dtype=bool)  # with the placeholder before it
     joined[1:] = (kinds[1:] > 0) & (kinds[1:] == kinds[:-1]) & (owner[1:] == owner[:-1])
@@ -113,6 +137,9 @@ def templates(texts: list[bytes]) -> Templates:
         owner[kept],
         starts[kept],
         ends[last],
+        starts[last],
+        words.hashes,
+        owner,
     )
 
 
@@ -127,7 +154,37 @@ def template_windows(found: Templates, size: int) -> tuple[np.ndarray, np.ndarra
     return at, hashes[at]
 
 
-WINDOWS = "key {kind}, text_hash long, window long, slots array<string>"
+def word_windows(found: Templates, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Owner and hash of every window of plain words that lies in one text."""
+    hashes = windows(found.word_hashes ^ _PLAIN, size)
+    owner = found.word_owner
+    at = np.flatnonzero(owner[: len(hashes)] == owner[size - 1 :]) if len(hashes) else np.empty(0, np.int64)
+    return owner[at], hashes[at]
+
+
+def _readings(raw: bytes, size: int) -> Iterator[tuple[int, np.uint64, list[str]]]:
+    """Size, hash and slots of an item's windows whose first word can be read in another way."""
+    found = templates([raw])
+    count = len(found.hashes)
+    heads = [0] if count <= size else list(range(count - size + 1))
+    # two tokens more than a window, since another reading may join the first two
+    pieces = [raw[found.starts[t] : found.ends[min(count, t + size + 2) - 1]] for t in heads]
+    for kind in (WORD, NAME, UNIT):
+        read = templates(pieces, kind)
+        bounds = np.searchsorted(read.owner, np.arange(len(pieces) + 1))
+        by_size: dict[int, list[int]] = {}
+        for first, last in zip(bounds[:-1], bounds[1:], strict=True):
+            width = min(WINDOW, int(last - first))
+            # of a longer item, only whole windows
+            if width >= SHORTEST and (count <= size or width == size):
+                by_size.setdefault(width, []).append(int(first))
+        for width, firsts in by_size.items():
+            at, keys = template_windows(read, width)
+            for k in np.flatnonzero(np.isin(at, firsts)):
+                yield width, keys[k], read.slots(int(at[k]), width)
+
+
+WINDOWS = "key {kind}, text_hash long, window long, plain boolean, slots array<string>"
 
 
 def _encoded(texts: list[str | None]) -> list[bytes]:
@@ -135,40 +192,61 @@ def _encoded(texts: list[str | None]) -> list[bytes]:
 
 
 def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
-    """item, window and slots of every window of every item; size of the windows."""
+    """item, size, window, plain and slots of every window of every item.
+
+    plain marks windows of words, which have no slots.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, sizes, keys, slots = [], [], [], []
+            rows, sizes, keys, plain, slots = [], [], [], [], []
+
+            def add(i: int, size: int, key: np.uint64, words: bool, values: list[str]) -> None:
+                for column, value in zip((rows, sizes, keys, plain, slots), (i, size, key, words, values)):
+                    column.append(value)
+
             for i, raw in enumerate(_encoded(batch.column(1).to_pylist())):
                 found = templates([raw])
                 size = min(WINDOW, len(found.hashes))
-                if size < SHORTEST:
-                    continue
-                for first, key in zip(*template_windows(found, size), strict=True):
-                    rows.append(i)
-                    sizes.append(size)
-                    keys.append(key)
-                    slots.append(found.slots(first, size))
+                if size >= SHORTEST:
+                    for first, key in zip(*template_windows(found, size), strict=True):
+                        add(i, size, key, False, found.slots(first, size))
+                if size:
+                    for width, key, values in _readings(raw, size):
+                        add(i, width, key, False, values)
+                words = min(WINDOW, len(found.word_hashes))
+                if words >= FEWEST:
+                    for key in word_windows(found, words)[1]:
+                        add(i, words, key, True, [])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(pa.array(rows, pa.int64())),
                     pa.array(sizes, pa.int32()),
                     pa.array(np.array(keys, np.uint64).view(np.int64)),
+                    pa.array(plain, pa.bool_()),
                     pa.array(slots, pa.list_(pa.string())),
                 ],
-                ["item", "size", "window", "slots"],
+                ["item", "size", "window", "plain", "slots"],
             )
 
     picked = benchmark.where(F.col(item).isNotNull() & F.col(text).isNotNull()).select(
         F.col(item).alias("item"), F.col(text).cast("string")
     )
     kind = picked.schema["item"].dataType.simpleString()
-    return picked.mapInArrow(cut, f"item {kind}, size int, window long, slots array<string>").distinct()
+    return picked.mapInArrow(
+        cut, f"item {kind}, size int, window long, plain boolean, slots array<string>"
+    ).distinct()
 
 
-def _filter_of(sought: DataFrame) -> tuple[np.ndarray, list[int]]:
-    """Bitmap of the sought windows and their sizes; neither grows with the benchmark."""
+def not_sought(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> int:
+    """Benchmark rows that findings does not look for: no id or text, or fewer than FEWEST words."""
+    words = F.size(F.regexp_extract_all(F.col(text).cast("string"), F.lit(r"[A-Za-z0-9\x{80}-\x{10FFFF}]+"), F.lit(0)))
+    few = F.col(item).isNull() | F.col(text).isNull() | (words < FEWEST)
+    return benchmark.where(few).count()
+
+
+def _filter_of(sought: DataFrame) -> tuple[np.ndarray, list[tuple[bool, int]]]:
+    """Bitmap of the sought windows and their kinds and sizes; neither grows with the benchmark."""
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,8 +263,8 @@ def _filter_of(sought: DataFrame) -> tuple[np.ndarray, list[int]]:
     rows = marked.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
     bitmap = np.zeros(FILTER_BITS // 64, dtype=np.uint64)
     bitmap[rows.column("word").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
-    sizes = [row["size"] for row in sought.select("size").distinct().collect()]  # below WINDOW + 1
-    return bitmap, sorted(sizes)
+    kinds = sought.select("plain", "size").distinct().collect()  # two for a size below WINDOW + 1
+    return bitmap, sorted((row["plain"], row["size"]) for row in kinds)
 
 
 def findings(
@@ -199,8 +277,9 @@ def findings(
 ) -> DataFrame:
     """Key, text_hash, item, n_windows and exact for every row that holds part of an item.
 
-    n_windows counts different windows of the item in the text; exact tells that one of them
-    has the item's own numbers and names. text_hash is Spark's xxhash64 of the text, which
+    n_windows counts different template windows of the item in the text, or windows of words
+    where no template was found; exact tells that one of them has the item's own numbers and
+    names. text_hash is Spark's xxhash64 of the text, which
     tells rows apart that share a key.
     """
     sought = benchmark_windows(benchmark, item, item_text)
@@ -211,26 +290,37 @@ def findings(
         known = shared.value
         for batch in (part for batch in batches for part in slices(batch, 2)):
             texts = _encoded(batch.column(2).to_pylist())
-            at, keys, slots = [], [], []
+            at, keys, plain, slots = [], [], [], []
+
+            def add(row: int, key: np.uint64, words: bool, values: list[str]) -> None:
+                for column, value in zip((at, keys, plain, slots), (row, key, words, values)):
+                    column.append(value)
+
             for run in chunks([len(text) for text in texts]):
                 found = templates([texts[i] for i in run])
-                for size in sizes:
-                    first, hashes = template_windows(found, size)
+                for words, size in sizes:
+                    first, hashes = (word_windows if words else template_windows)(found, size)
                     place = hashes % np.uint64(FILTER_BITS)
                     hit = (known[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1)
                     for k in np.flatnonzero(hit):
-                        at.append(run.start + found.owner[first[k]])
-                        keys.append(hashes[k])
-                        slots.append(found.slots(first[k], size))
+                        if words:
+                            add(run.start + first[k], hashes[k], True, [])
+                            continue
+                        t = first[k]
+                        row = run.start + found.owner[t]
+                        add(row, hashes[k], False, found.slots(t, size))
+                        if found.last_starts[t] > found.starts[t]:
+                            add(row, hashes[k], False, found.slots(t, size, last_word=True))
             where = pa.array(at, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(where),
                     batch.column(1).take(where),
                     pa.array(np.array(keys, np.uint64).view(np.int64)),
+                    pa.array(plain, pa.bool_()),
                     pa.array(slots, pa.list_(pa.string())),
                 ],
-                ["key", "text_hash", "window", "slots"],
+                ["key", "text_hash", "window", "plain", "slots"],
             )
 
     content = F.col(text).cast("string")
@@ -239,7 +329,7 @@ def findings(
     )
     kind = picked.schema["key"].dataType.simpleString()
     hits = picked.mapInArrow(cut, WINDOWS.format(kind=kind)).distinct()
-    items = sought.select("item", "window", F.col("slots").alias("item_slots"))
+    items = sought.select("item", "window", "plain", F.col("slots").alias("item_slots"))
     pairs = F.size(F.array_distinct(F.arrays_zip("slots", "item_slots")))
     consistent = (
         (F.size("slots") == F.size("item_slots"))
@@ -247,13 +337,15 @@ def findings(
         & (pairs == F.size(F.array_distinct("item_slots")))
     )
     return (
-        hits.join(items, "window")
+        hits.join(items, ["window", "plain"])
         .where(consistent)
         .groupBy("key", "text_hash", "item")
         .agg(
-            F.countDistinct("window").alias("n_windows"),
+            F.countDistinct(F.when(~F.col("plain"), F.col("window"))).alias("templates"),
+            F.countDistinct(F.when(F.col("plain"), F.col("window"))).alias("passages"),
             F.bool_or(F.col("slots") == F.col("item_slots")).alias("exact"),
         )
+        .withColumn("n_windows", F.coalesce(F.nullif(F.col("templates"), F.lit(0)), F.col("passages")))
         .select(F.col("key").alias(key), "text_hash", F.col("item").alias(item), "n_windows", "exact")
     )
 

@@ -109,3 +109,20 @@ def test_edge_cases(spark):
     assert len(kept) == 4 and (None, "clean") in kept and (None, QUESTION) not in kept
     assert pairs(decontaminate.findings(df.limit(0), items)) == set()
     assert pairs(decontaminate.findings(df, items.limit(0))) == set()
+
+
+def test_windows_hang_on_nothing_before_them(spark):
+    items = [
+        (1, "What is the boiling point of water"), (2, "Anna Smith bought 12 apples and then Anna sold them all"),
+        (3, "Days of the week are how many in 12 months"),
+    ]
+    docs, want = [], set()
+    before = ["", "Question 5) ", "- ", "(", "so, ", "then Bob, ", "of 7 "]
+    for i, (item, text) in enumerate((item, text) for item, text in items for _ in before):
+        docs.append((i, before[i % len(before)] + text + ", no doubt"))
+        want.add((i, item))
+    docs += [(90, "Question 5) Clara Jones bought 7 apples and then Clara sold them all"), (91, "no Days of the year are how many")]
+    want.add((90, 2))
+    df = spark.createDataFrame([(*row, 1, "s", 1) for row in docs], DOC)
+    found = decontaminate.findings(df, spark.createDataFrame([(*row, "k") for row in items], ITEM))
+    assert pairs(found) == want
