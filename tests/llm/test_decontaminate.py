@@ -126,3 +126,17 @@ def test_windows_hang_on_nothing_before_them(spark):
     df = spark.createDataFrame([(*row, 1, "s", 1) for row in docs], DOC)
     found = decontaminate.findings(df, spark.createDataFrame([(*row, "k") for row in items], ITEM))
     assert pairs(found) == want
+
+
+def test_items_of_few_literal_words_are_found_word_by_word(spark):
+    items = [
+        (1, "Who wrote Hamlet?"), (2, "Solve x + 3 = 7"), (3, "12 13 14 15 16 17"), (4, "3 + 4"), (None, "a b c d e"),
+        (5, "Paris, London, Rome, Berlin, Madrid, Vienna"), (6, "The Old Man And The Sea By Ernest Hemingway"),
+    ]
+    docs = [(i, f"as he asked, {text.lower()} and so on") for i, text in items[:3] + items[5:]]
+    docs += [(20, "who wrote Macbeth"), (21, "12 13 14 15 16 18"), (22, "solve x + 4 = 7"), (23, "3 + 4")]
+    df = spark.createDataFrame([(*row, 1, "s", 1) for row in docs], DOC)
+    benchmark = spark.createDataFrame([(*row, "k") for row in items], ITEM)
+    found = decontaminate.findings(df, benchmark)
+    assert pairs(found) == {(i, i) for i in (1, 2, 3, 5, 6)}
+    assert decontaminate.not_sought(benchmark) == 2
