@@ -24,7 +24,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hitledger.llm.matches import located
-from hitledger.llm.tables import stored, text_or_empty
+from hitledger.llm.tables import scratch_path, stored, text_or_empty
 
 NAMES = "password|passwd|pwd|passphrase|secret|token|api_?key|access_?key|private_?key|credential"
 _GIVEN = rf"(?i:{NAMES})[\"']? ?[=:] ?[\"']?"
@@ -154,7 +154,12 @@ def train(labelled: DataFrame) -> RandomForestClassificationModel | None:
     forest = RandomForestClassifier(
         numTrees=TREES, maxDepth=DEPTH, seed=SEED, labelCol="label", featuresCol="features"
     )
-    return forest.fit(_vectors(sample.withColumn("label", F.col("label").cast("double"))))
+    fitted = forest.fit(_vectors(sample.withColumn("label", F.col("label").cast("double"))))
+    # A fitted forest keeps its training summary, and with it the session, which no task can be
+    # sent once the session has observed a query. A forest that was read back has none.
+    path = scratch_path(labelled.sparkSession, "forest")
+    fitted.write().save(path)
+    return RandomForestClassificationModel.load(path)
 
 
 def scan_secrets(

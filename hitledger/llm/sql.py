@@ -2,16 +2,16 @@
 
 TOP_K_SQL = """
 WITH vectors AS (
-    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) v
+    SELECT row_number() OVER () AS uid, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) v
     FROM embeddings
     WHERE embedding IS NOT NULL
       AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
-    SELECT q.vec_id query_id, c.vec_id vec_id,
+    SELECT q.uid uid, q.vec_id query_id, c.vec_id vec_id,
            CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) score
-    FROM vectors q JOIN vectors c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+    FROM vectors q JOIN vectors c ON q.vec_id % 20 = 0 AND q.uid <> c.uid AND len(q.v) = len(c.v)
 ), ranked AS (
-    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) rank,
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY uid ORDER BY score DESC, vec_id) AS INTEGER) rank,
            vec_id, score
     FROM scored
 )

@@ -9,10 +9,11 @@ Third, the whole scores of those entries are resolved, and what reaches the cuto
 
 Vectors become whole numbers, floor(scale * x). Edge cases: vectors that are null, or hold a
 null or non-finite component, and rows with a null id take no part; a query is scored against
-vectors of its own length only; of several rows with one id, the smallest vector counts; a
-query without another vector of its length has no rows; equal scores go by the smaller id; a
-score that needs more than 63 bits wraps as Spark's long arithmetic does; an empty table gives
-an empty result; other columns are not read.
+vectors of its own length only; every row is a vector of its own, so of several rows with one id
+each is a candidate for the others, and each query among them gets its own ranks; a query
+without another vector of its length has no rows; equal scores go by the smaller id, and rows
+equal in both are alike; a score that needs more than 63 bits wraps as Spark's long arithmetic
+does; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -41,17 +42,19 @@ def _whole(components: Column, scale: int) -> Column:
 
 
 def usable_vectors(rows: DataFrame, key: str, vector: str, scale: int) -> DataFrame:
-    """id and components as whole numbers, one row per id, without unusable vectors."""
+    """Row number, id and components as whole numbers, without unusable vectors.
+
+    Row numbers hold for one evaluation only; store the rows to keep them.
+    """
     components = F.col(vector)
     bad = F.exists(
         components,
         lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == np.inf),
     )
-    return (
-        rows.where(F.col(key).isNotNull() & components.isNotNull() & ~bad)
-        .select(F.col(key).cast("long").alias("id"), _whole(components, scale).alias("v"))
-        .groupBy("id")
-        .agg(F.min("v").alias("v"))
+    return rows.where(F.col(key).isNotNull() & components.isNotNull() & ~bad).select(
+        F.monotonically_increasing_id().alias("row"),
+        F.col(key).cast("long").alias("id"),
+        _whole(components, scale).alias("v"),
     )
 
 
@@ -61,7 +64,7 @@ def _blocks(vectors: DataFrame, name: str) -> DataFrame:
     counts = sized.groupBy("dims").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("n"))
     # one row per vector length; small enough or joined by shuffle, as Spark sees fit
     placed = sized.join(counts, "dims")
-    return placed.withColumn(name, F.pmod(F.xxhash64("id"), F.col("n")).cast("int"))
+    return placed.withColumn(name, F.pmod(F.xxhash64("row"), F.col("n")).cast("int"))
 
 
 def _beside(blocks: DataFrame, others: DataFrame, name: str) -> DataFrame:
@@ -111,14 +114,14 @@ def first_lists(k: int, fragments: int):
         out_q, out_v, out_s = [], [], []
         if len(queries) and len(vectors):
             dims = queries.column("dims")[0].as_py()
-            q_ids = queries.column("id").to_numpy()
+            q_rows, v_rows = queries.column("row").to_numpy(), vectors.column("row").to_numpy()
             v_ids = vectors.column("id").to_numpy()
             q, v = _matrix(queries.column("v"), dims), _matrix(vectors.column("v"), dims)
             for at in range(0, len(q), SLICE_QUERIES):
                 rows = slice(at, at + SLICE_QUERIES)
                 lists = _lists(q[rows], v, fragments)
                 total = sum(lists)
-                own = q_ids[rows, None] == v_ids[None, :]
+                own = q_rows[rows, None] == v_rows[None, :]
                 picked = np.zeros(total.shape, dtype=bool)
                 for scores in lists:
                     # one more than k, as the query's own row may lead a list
@@ -130,7 +133,7 @@ def first_lists(k: int, fragments: int):
                 i, j, s = i[order], j[order], s[order]
                 rank = np.arange(len(i)) - np.searchsorted(i, i)
                 keep = rank < k
-                out_q.append(q_ids[rows][i[keep]])
+                out_q.append(q_rows[rows][i[keep]])
                 out_v.append(v_ids[j[keep]])
                 out_s.append(s[keep])
         return _answer(out_q, out_v, out_s)
@@ -145,7 +148,7 @@ def entries_above(fragments: int):
         out_q, out_v, out_s = [], [], []
         if len(queries) and len(vectors):
             dims = queries.column("dims")[0].as_py()
-            q_ids = queries.column("id").to_numpy()
+            q_rows, v_rows = queries.column("row").to_numpy(), vectors.column("row").to_numpy()
             v_ids = vectors.column("id").to_numpy()
             low = queries.column("cutoff").to_numpy()
             q, v = _matrix(queries.column("v"), dims), _matrix(vectors.column("v"), dims)
@@ -161,8 +164,8 @@ def entries_above(fragments: int):
                     enough[:] = True
                 i, j = np.nonzero(enough)
                 total = sum(scores[i, j] for scores in lists)
-                keep = (total >= low[rows][i]) & (q_ids[rows][i] != v_ids[j])
-                out_q.append(q_ids[rows][i[keep]])
+                keep = (total >= low[rows][i]) & (q_rows[rows][i] != v_rows[j])
+                out_q.append(q_rows[rows][i[keep]])
                 out_v.append(v_ids[j[keep]])
                 out_s.append(total[keep])
         return _answer(out_q, out_v, out_s)
@@ -174,10 +177,10 @@ def _answer(*parts: list[np.ndarray]) -> pa.Table:
     columns = [
         np.concatenate(part).astype(np.int64) if part else np.empty(0, np.int64) for part in parts
     ]
-    return pa.table(dict(zip(("query_id", "vec_id", "score"), columns, strict=True)))
+    return pa.table(dict(zip(("row", "vec_id", "score"), columns, strict=True)))
 
 
-SCORES = "query_id long, vec_id long, score long"
+SCORES = "row long, vec_id long, score long"
 
 
 def _scored(queries: DataFrame, vectors: DataFrame, score) -> DataFrame:
@@ -188,7 +191,7 @@ def _scored(queries: DataFrame, vectors: DataFrame, score) -> DataFrame:
 
 
 def _best(scores: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     return scores.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
@@ -209,11 +212,12 @@ def top_k(
     """
     vectors = stored(usable_vectors(rows, key, vector, scale), "vectors")
     blocks = _blocks(vectors, "v_block")
-    chosen = vectors.withColumn(key, F.col("id")).where(is_query).select("id", "v")
+    chosen = vectors.withColumn(key, F.col("id")).where(is_query).select("row", "id", "v")
     queries = _blocks(chosen, "q_block")
     first = _best(_scored(queries, blocks, first_lists(k, fragments)), k)
     lowest = F.when(F.count("*") >= k, F.min("score")).otherwise(F.lit(-(1 << 62)))
-    cutoffs = first.groupBy(F.col("query_id").alias("id")).agg(lowest.alias("cutoff"))
-    sent = queries.join(cutoffs, "id")
+    cutoffs = first.groupBy("row").agg(lowest.alias("cutoff"))
+    sent = queries.join(cutoffs, "row")
     found = _best(_scored(sent, blocks, entries_above(fragments)), k)
-    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    named = found.join(chosen.select("row", F.col("id").alias("query_id")), "row")
+    return named.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

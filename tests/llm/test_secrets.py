@@ -6,7 +6,7 @@ import hashlib
 import random
 import re
 
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from hitledger.llm import secrets
 from tests import compare
@@ -17,7 +17,7 @@ SCHEMA = "doc_id long, text string, source string, key string, value string, fou
 def plain(text: str) -> set:
     """(start, end, value) by Python's re; runs and assignments apart."""
     found = set()
-    given = re.compile(rf"(?i:{secrets.NAMES})[\"']? ?[=:] ?[\"']?([^\s\"']{{6,200}})")
+    given = re.compile(rf"(?i:{secrets.NAMES})[\"']? ?[=:] ?[\"']?([^\s\"']{{6,}})")
     for m in given.finditer(text):
         found.add((m.start(1), m.end(1), m.group(1)))
     before = re.compile(rf"(?i:{secrets.NAMES})[\"']? ?[=:] ?[\"']?$")
@@ -48,6 +48,15 @@ def test_documents_agree(spark):
     assert by_kind["assigned", True] > 0 and by_kind["key", False] > 0
 
 
+def test_scan_in_a_session_that_observed(spark, tmp_path):
+    """Every load of the other part observes a query; the forest must still reach the tasks."""
+    seen = Observation()
+    spark.range(5).observe(seen, F.count("*").alias("n")).write.parquet(f"{tmp_path}/observed")
+    assert seen.get == {"n": 5}
+    documents = spark.read.parquet(f"{compare.testdata('sf0.01')}/documents.parquet")
+    assert secrets.scan_secrets(documents).where("score IS NOT NULL").count() > 0
+
+
 def test_forest_learns_from_labels(spark):
     chance = random.Random(7)
     signs = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
