@@ -58,3 +58,50 @@ SELECT doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INTEGER) shard,
        CAST(grown_shard AS INTEGER) grown_shard
 FROM placed
 """
+
+# Lines are compared as texts here, not by hashes.
+LINE_RULES_SQL = r"""
+WITH rows AS (
+    SELECT row_number() OVER () AS uid, doc_id, coalesce(text, '') AS text, coalesce(source, '') AS host
+    FROM documents
+), worded AS (
+    SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM rows
+), windows AS (
+    SELECT uid, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS win
+    FROM (SELECT uid, w, unnest(range(1, len(w) - 1)) AS i FROM worded)
+), repeated AS (
+    SELECT uid, count(DISTINCT i + k) AS n
+    FROM (SELECT uid, i, unnest(range(3)) AS k FROM windows JOIN (
+        SELECT uid, win FROM windows GROUP BY uid, win HAVING count(*) > 1) USING (uid, win))
+    GROUP BY uid
+), cut AS (
+    SELECT uid, host, text, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS lw
+    FROM (SELECT uid, host, text, unnest(string_split(text, chr(10))) AS line FROM rows)
+), lines AS (
+    SELECT uid, host, text, line, len(lw) AS n, regexp_replace(translate(array_to_string(lw, ' '),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9]+', '0', 'g') AS plain
+    FROM cut WHERE len(lw) > 0
+), doubled AS (
+    SELECT uid, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY uid
+), hosts AS (
+    SELECT host, count(DISTINCT text) AS documents FROM rows GROUP BY host
+), frequent AS (
+    SELECT host, plain
+    FROM (SELECT host, plain, count(DISTINCT text) AS n FROM lines GROUP BY host, plain HAVING n > 20)
+    JOIN hosts USING (host) WHERE 1000 * n > documents
+), removed AS (
+    SELECT uid, sum(n) AS n FROM lines JOIN frequent USING (host, plain) GROUP BY uid
+), found AS (
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+        CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+        CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+        CAST(coalesce(d.n, 0) AS BIGINT) AS n_dup_lines,
+        CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words,
+        CAST(coalesce(m.n, 0) AS BIGINT) AS n_removed
+    FROM worded LEFT JOIN doubled d USING (uid) LEFT JOIN repeated r USING (uid) LEFT JOIN removed m USING (uid)
+), judged AS (
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM found
+)
+SELECT *, NOT base_failed AND n_words - n_removed >= 50 AND 100 * n_removed <= 50 * n_words AS kept
+FROM judged
+"""

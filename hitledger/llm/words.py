@@ -70,6 +70,14 @@ def range_hashes(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
     return mix((sums[ends] - sums[starts]) * down[starts])
 
 
+def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of every run of neighbouring hashes; equal sequences give equal hashes."""
+    up, down = _power_tables(len(values) + 1)
+    sums = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum(values * up[: len(values)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * down[starts])
+
+
 def split_words(texts: list[bytes], separators: np.ndarray, lower: bool = True) -> Words:
     """Maximal runs of bytes that are no separators.
 
