@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hitledger.llm import decontaminate, langid, linerules, neardup, pieces, pii, quality, secrets, sharding, tokencounts, topk
-from hitledger.llm.sql import LINE_RULES_SQL, SHARDING_SQL, TOP_K_SQL
+from hitledger.llm import decontaminate, langid, linerules, neardup, pieces, pii, quality, secrets, sharding, signatures, tokencounts, topk
+from hitledger.llm.sql import LINE_RULES_SQL, SEARCH_SQL, SHARDING_SQL, TOP_K_SQL
 from hitledger.llm.tables import fold_of, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +80,11 @@ def op11_linerules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linerules.check_lines(read_table(spark, sf_dir, "documents"))
 
 
+def op13_lexsearch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    return signatures.search(documents, read_table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_secrets": op1_secrets,
@@ -93,8 +98,14 @@ def queries() -> dict[str, Query]:
         "op9_pieces": op9_pieces,
         "op10_tokencounts": op10_tokencounts,
         "op11_linerules": op11_linerules,
+        "op13_lexsearch": op13_lexsearch,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_topk": TOP_K_SQL, "op8_sharding": SHARDING_SQL, "op11_linerules": LINE_RULES_SQL}
+    return {
+        "op2_topk": TOP_K_SQL,
+        "op8_sharding": SHARDING_SQL,
+        "op11_linerules": LINE_RULES_SQL,
+        "op13_lexsearch": SEARCH_SQL,
+    }

@@ -105,3 +105,33 @@ WITH rows AS (
 SELECT *, NOT base_failed AND n_words - n_removed >= 50 AND 100 * n_removed <= 50 * n_words AS kept
 FROM judged
 """
+
+SEARCH_SQL = r"""
+WITH rows AS (
+    SELECT row_number() OVER () AS uid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+), wanted AS (
+    SELECT DISTINCT iid, item_id, term FROM (SELECT iid, item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT row_number() OVER () AS iid, * FROM benchmark))
+), totals AS (
+    SELECT count(*) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM rows WHERE len(terms) > 0
+), counts AS (
+    SELECT uid, doc_id, term, CAST(count(*) AS BIGINT) AS tf, CAST(any_value(n) AS BIGINT) AS n
+    FROM (SELECT uid, doc_id, len(terms) AS n, unnest(terms) AS term FROM rows)
+    WHERE term IN (SELECT term FROM wanted) GROUP BY uid, doc_id, term
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM counts, totals GROUP BY term, n_docs
+), scored AS (
+    SELECT iid, item_id, uid, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + 50 * n * n_docs // n_terms)))) AS BIGINT) AS score
+    FROM wanted JOIN counts USING (term) JOIN weights USING (term), totals GROUP BY iid, item_id, uid, doc_id
+), ranked AS (
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank,
+        doc_id, score FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
