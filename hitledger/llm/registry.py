@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hitledger.llm import decontaminate, langid, linerules, neardup, pieces, pii, quality, secrets, sharding, signatures, tokencounts, topk
-from hitledger.llm.sql import LINE_RULES_SQL, SEARCH_SQL, SHARDING_SQL, TOP_K_SQL
+from hitledger.llm import bond, decontaminate, langid, linerules, neardup, pieces, pii, quality, secrets, sharding, signatures, tokencounts, topk
+from hitledger.llm.sql import HARD_NEGATIVES_SQL, LINE_RULES_SQL, SEARCH_SQL, SHARDING_SQL, TOP_K_SQL
 from hitledger.llm.tables import fold_of, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +80,12 @@ def op11_linerules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linerules.check_lines(read_table(spark, sf_dir, "documents"))
 
 
+def op12_hardneg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key, label = F.col("vec_id"), F.col("label")
+    shifted = F.when(key % 7 == 0, (label + 1) % 10).otherwise(label)
+    return bond.hard_negatives(read_table(spark, sf_dir, "embeddings"), key % 100 == 0, label=shifted)
+
+
 def op13_lexsearch(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     return signatures.search(documents, read_table(spark, sf_dir, "benchmark"))
@@ -98,6 +104,7 @@ def queries() -> dict[str, Query]:
         "op9_pieces": op9_pieces,
         "op10_tokencounts": op10_tokencounts,
         "op11_linerules": op11_linerules,
+        "op12_hardneg": op12_hardneg,
         "op13_lexsearch": op13_lexsearch,
     }
 
@@ -107,5 +114,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_topk": TOP_K_SQL,
         "op8_sharding": SHARDING_SQL,
         "op11_linerules": LINE_RULES_SQL,
+        "op12_hardneg": HARD_NEGATIVES_SQL,
         "op13_lexsearch": SEARCH_SQL,
     }

