@@ -61,6 +61,22 @@ def dropped_lines(lines: DataFrame) -> DataFrame:
     return told.where(F.col("reason").isNotNull()).drop(_FIELDS)
 
 
+def judged_lines(lines: DataFrame) -> DataFrame:
+    """Every line with its typed columns, its instant, and ``reason``, NULL if it gives a row.
+
+    The reasons are those of ``dropped_lines``; columns that came along stay. One match and one
+    look at the time serve the rows and the dropped lines alike.
+    """
+    split = split_lines(lines)
+    parsed = logline.is_parsed(F.col(_FIELDS))
+    typed = logline.field_columns(F.when(parsed, F.col(_FIELDS)))
+    stamp = F.when(parsed, F.get(F.col(_FIELDS), F.lit(logline.FIELDS.index("timestamp_str"))))
+    timed = compute_once(split, "timestamp", logline.log_time(stamp))
+    reason = F.when(~parsed, "pattern").when(F.col("timestamp").isNull(), "time")
+    columns = [c for c, name in zip(typed, logline.FIELDS) if name != "timestamp_str"]
+    return timed.select(*lines.columns, *columns, "timestamp", reason.alias("reason"))
+
+
 def line_counts() -> list[Column]:
     """Counts over ``split_lines``, for an aggregate or an observation."""
     return [

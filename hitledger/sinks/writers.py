@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import AbstractContextManager
 from functools import partial
 from typing import TypeVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.util import inheritable_thread_target
 
 from hitledger.schemas import TableSpec
@@ -21,17 +21,34 @@ SHUFFLE_BYTES_PER_FILE_BYTE = 3
 Item = TypeVar("Item")
 
 
-def _gathered(df: DataFrame, spec: TableSpec) -> DataFrame:
+def in_stored_order(df: DataFrame, database: LogDatabase, spec: TableSpec) -> DataFrame:
+    """Columns by name in the order of the catalog's table; what only that has is NULL.
+
+    ``insertInto`` goes by position, and a table that others made or extended may have
+    another order than the specification.
+    """
+    have = {name.lower() for name in spec.columns}
+    stored = database.spark.table(database.qualified(spec.name)).schema
+    return df.select(
+        *[
+            F.col(column.name).cast(column.dataType).alias(column.name)
+            if column.name.lower() in have
+            else F.lit(None).cast(column.dataType).alias(column.name)
+            for column in stored
+        ]
+    )
+
+
+def _gathered(df: DataFrame, database: LogDatabase, spec: TableSpec) -> DataFrame:
     """Rows gathered by partition key, columns in stored order.
 
     Unlike a repartition by the key, rebalancing divides a key that is larger than the
     advisory size among several tasks and puts small keys together, from the sizes the
     shuffle measured.
     """
-    keys = list(spec.partition_by)
-    others = [name for name in spec.columns if name not in keys]
-    order = [*keys, "timestamp"] if "timestamp" in others else [*keys, "rank"]
-    return df.select(*others, *keys).hint("rebalance", *keys).sortWithinPartitions(*order)
+    keys = spec.partition_by
+    rows = in_stored_order(df, database, spec)
+    return rows.hint("rebalance", *keys).sortWithinPartitions(*keys, *spec.order_by)
 
 
 def _insert_settings(
@@ -48,7 +65,8 @@ def _insert_settings(
 
 
 def _insert(df: DataFrame, database: LogDatabase, spec: TableSpec, overwrite: bool) -> None:
-    _gathered(df, spec).write.insertInto(database.qualified(spec.name), overwrite=overwrite)
+    rows = _gathered(df, database, spec)
+    rows.write.insertInto(database.qualified(spec.name), overwrite=overwrite)
 
 
 def at_once(spark: SparkSession, task: Callable[[Item], None], items: Iterable[Item]) -> None:
@@ -65,7 +83,7 @@ def at_once(spark: SparkSession, task: Callable[[Item], None], items: Iterable[I
 
 
 def append(df: DataFrame, database: LogDatabase, spec: TableSpec) -> None:
-    """Add rows; columns are matched by name."""
+    """Add rows; columns are matched by name with those of the catalog's table."""
     with _insert_settings(database, [spec]):
         _insert(df, database, spec, overwrite=False)
 
@@ -84,6 +102,31 @@ def overwrite_partitions(results: dict[TableSpec, DataFrame], database: LogDatab
         )
 
 
+def replace_owned(
+    results: dict[TableSpec, DataFrame],
+    owned: dict[TableSpec, Iterable[Sequence]],
+    database: LogDatabase,
+) -> dict[TableSpec, list[tuple]]:
+    """Make the owned partitions of each table hold its rows and nothing else.
+
+    Partitions with rows are overwritten; owned ones without are dropped, where they are
+    there. Gives the dropped ones. Partitions that are not owned stay as they are, so rows of
+    such partitions must not be among the results.
+    """
+    overwrite_partitions(results, database)
+    dropped = {}
+    for spec, rows in results.items():
+        wanted = {tuple(value) for value in owned[spec]}
+        there = {tuple(row) for row in database.partitions(spec).collect()}
+        stale = wanted & there
+        if stale:  # one row for each partition that was written
+            written = rows.select(*spec.partition_by).distinct().collect()
+            stale -= {tuple(row) for row in written}
+        dropped[spec] = sorted(stale)
+        database.drop_partitions(spec, dropped[spec])
+    return dropped
+
+
 def stage(df: DataFrame, database: LogDatabase, spec: TableSpec, name: str) -> None:
     """Write ``df`` unpartitioned into a new table ``name`` of the database.
 

@@ -9,28 +9,71 @@ from fnmatch import fnmatchcase
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 LOG_FILES = "*.log.gz"
 DAY_KEYS = ("year", "month", "day")
 
 
-def scan_lines(spark: SparkSession, path: str, spread: bool = False) -> DataFrame:
+def list_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``path``, ``bytes`` and ``modified`` of the files that match, which are not opened."""
+    files = spark.read.format("binaryFile").load(path)
+    return files.select("path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
+
+
+def literal_path(path: str) -> str:
+    """A file's path as a pattern that no other file matches."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+def _read(spark: SparkSession, path: str | list[str], by_file: bool) -> DataFrame:
+    lines = spark.read.option("lineSep", "\n").text(path)
+    if by_file:
+        return lines.select("value", F.col("_metadata.file_path").alias("file_path"))
+    return lines.select("value")
+
+
+def scan_lines(
+    spark: SparkSession,
+    path: str | list[str],
+    spread: bool = False,
+    by_file: bool = False,
+    spread_above: int | None = None,
+) -> DataFrame:
     """One row per line of the files that match ``path``, split at line feeds only.
 
     Gzip is recognised by the file name. A gzip file is read by one task, so the file
     count of the archive bounds how wide the scan can be. When a few files hold most of
     the lines, ``spread`` deals the raw lines out evenly before anything is parsed; it
-    shuffles the text, so it is not the default.
+    shuffles the text, so it is not the default. ``spread_above`` does so for files larger
+    than that many bytes only; the lines of all others are parsed where they are read.
+
+    ``by_file`` adds ``file_path``, to trace lines and to keep the dropped ones by file.
     """
-    lines = spark.read.option("lineSep", "\n").text(path).select("value")
-    return lines.hint("rebalance") if spread else lines
+    if spread_above is None or spread:
+        lines = _read(spark, path, by_file)
+        return lines.hint("rebalance") if spread else lines
+    # as long as Spark's own listing of the same files
+    large, small = [], []
+    for file in list_files(spark, path).select("path", "bytes").toLocalIterator():
+        (large if file["bytes"] > spread_above else small).append(literal_path(file["path"]))
+    parts = [_read(spark, small, by_file)] if small else []
+    if large:
+        parts.append(_read(spark, large, by_file).hint("rebalance"))
+    return reduce(DataFrame.unionByName, parts) if parts else _read(spark, path, by_file)
+
+
+def scan_lines_by_file(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Lines with the file each came from, to trace rejected lines."""
+    return scan_lines(spark, path, by_file=True)
 
 
-def scan_lines_by_file(spark: SparkSession, path: str) -> DataFrame:
-    """Lines with the file each came from, to trace rejected lines."""
-    lines = spark.read.option("lineSep", "\n").text(path)
-    return lines.select("value", F.col("_metadata.file_path").alias("file_path"))
+def file_day(file_path: Column) -> Column:
+    """Day of the directory that a file is in, as text, in either layout; else ``other``."""
+    plain = F.regexp_extract(file_path, r"/([0-9]{4}/[0-9]{2}/[0-9]{2})/[^/]*$", 1)
+    hive = F.regexp_extract(file_path, r"/year=([0-9]{4}/month=[0-9]{2}/day=[0-9]{2})/[^/]*$", 1)
+    found = F.regexp_replace(F.when(plain != "", plain).otherwise(hive), "/(month=|day=)?", "-")
+    return F.coalesce(F.nullif(found, F.lit("")), F.lit("other"))
 
 
 def parse_day(text: str) -> date:
@@ -71,10 +114,10 @@ def day_path(path: str, day: date, hive_layout: bool = False, neighbour: bool =
 
 
 def scan_one_day(
-    spark: SparkSession, path: str, day: date, hive_layout: bool = False, spread: bool = False
+    spark: SparkSession, path: str, day: date, hive_layout: bool = False, spread: bool = False, **how
 ) -> DataFrame:
-    """Lines of one day's directory only."""
-    return scan_lines(spark, day_path(path, day, hive_layout), spread)
+    """Lines of one day's directory only; ``how`` goes to ``scan_lines``."""
+    return scan_lines(spark, day_path(path, day, hive_layout), spread, **how)
 
 
 def scan_around_days(
@@ -83,6 +126,7 @@ def scan_around_days(
     days: Iterable[date],
     hive_layout: bool = False,
     spread: bool = False,
+    **how,
 ) -> DataFrame:
     """Lines of the directories that can hold rows of the days, for a load that replaces them.
 
@@ -97,7 +141,8 @@ def scan_around_days(
     parts = []
     for day in sorted(near):
         try:
-            parts.append(scan_lines(spark, day_path(path, day, hive_layout, neighbour=True), spread))
+            near_path = day_path(path, day, hive_layout, neighbour=True)
+            parts.append(scan_lines(spark, near_path, spread, **how))
         except AnalysisException as error:
             if day in wanted or error.getCondition() != "PATH_NOT_FOUND":
                 raise
