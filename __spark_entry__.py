@@ -7,6 +7,7 @@ shared scratch folder.
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import sys
 import uuid
@@ -21,20 +22,26 @@ ROOT = str(Path(__file__).resolve().parent)
 sys.path.insert(0, ROOT)
 
 from hitledger.functions import derived  # noqa: E402
-from hitledger.operators import parsing, reports, topn  # noqa: E402
+from hitledger.operators import parsing, reports, summaries, topn  # noqa: E402
 from hitledger.operators.enrich import access_logs  # noqa: E402
-from hitledger.plans import batch  # noqa: E402
+from hitledger.plans import batch, newfiles, upkeep  # noqa: E402
 from hitledger.plans.batch import LoadOptions  # noqa: E402
 from hitledger.schemas import (  # noqa: E402
     ACCESS_LOGS,
+    DAILY_ADDRESSES,
     DAILY_TOP_DEVICES,
     DAILY_TOP_IPS,
+    DAILY_TRAFFIC,
+    DROPPED_LINES,
+    REQUEST_COUNTS,
     TOP_TABLES,
+    WEEKLY_TOP_DEVICES,
     WEEKLY_TOP_IPS,
     TableSpec,
     TopTableSpec,
 )
 from hitledger.session import configure_session, scratch_dir  # noqa: E402
+from hitledger.sinks import compaction, writers  # noqa: E402
 from hitledger.sinks.catalog import LogDatabase  # noqa: E402
 from hitledger.sources import text_logs  # noqa: E402
 from oracle import access_log_sql  # noqa: E402
@@ -43,7 +50,10 @@ from oracle.event_lines import event_lines  # noqa: E402
 try:  # the text operators and their pipeline are optional
     import corpus_pipeline  # noqa: E402
     from hitledger.llm import registry as llm  # noqa: E402
-except ImportError:
+except ModuleNotFoundError as error:
+    # only they themselves may be missing; a package that they need, or a typing error, is a fault
+    if error.name not in ("corpus_pipeline", "hitledger.llm"):
+        raise
     corpus_pipeline = llm = None
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,8 +62,13 @@ DAY = "2025-01-05"
 SINCE = "2025-01-01"
 LAST = "2025-01-31"
 FIRST_HOUR, LAST_HOUR = 10, 12
+#: Days that are replaced by nothing: DAY, and every day of the week after it.
+EMPTIED = [str(dt.date.fromisoformat(DAY) + dt.timedelta(days=i)) for i in range(8)]
 
 
+#: Files of the archive above this size are dealt out; some are and some are not.
+SPREAD_ABOVE = 1_500
+
 Made = TypeVar("Made")
 
 
@@ -153,6 +168,49 @@ def _loaded_again(spark: SparkSession, sf_dir: str) -> LogDatabase:
     return database
 
 
+@_once
+def _loaded_by_files(spark: SparkSession, sf_dir: str) -> tuple[LogDatabase, newfiles.NewFilesReport]:
+    """New files appended twice, dropped lines kept, and one file written anew in between."""
+    archive, database = _archive(spark, sf_dir), _new_database(spark)
+    options = LoadOptions(keep_dropped=True)
+    newfiles.append_new_files(database, archive, options)
+    listed = newfiles.text_logs.list_files(spark, archive).orderBy("path").first()
+    grown = [{**listed.asDict(), "bytes": listed["bytes"] - 1}]  # as if it had been shorter then
+    newfiles.record_files(database, grown)
+    return database, newfiles.append_new_files(database, archive, options)
+
+
+@_once
+def _emptied(spark: SparkSession, sf_dir: str) -> LogDatabase:
+    """All lines, and then some days replaced by input that has none of theirs."""
+    database = _new_database(spark)
+    lines = _lines(spark, sf_dir)
+    batch.run(lines, database)
+    days = tuple(dt.date.fromisoformat(day) for day in EMPTIED)
+    elsewhere = lines.where(~F.col("log_day").between(days[0] - dt.timedelta(1), days[-1] + dt.timedelta(1)))
+    batch.run(elsewhere, database, LoadOptions(mode="replace", replace_days=days))
+    return database
+
+
+@_once
+def _compacted(spark: SparkSession, sf_dir: str) -> LogDatabase:
+    """The rows of several loads, their files put together."""
+    database = _new_database(spark).create()
+    logs = _database(spark, sf_dir).table(ACCESS_LOGS)
+    for part in range(4):
+        writers.append(logs.where(F.pmod(F.xxhash64(*logs.columns), F.lit(4)) == part), database, ACCESS_LOGS)
+    compaction.compact(database, ACCESS_LOGS)
+    return database
+
+
+@_once
+def _summarized(spark: SparkSession, sf_dir: str) -> LogDatabase:
+    """The loaded tables, with traffic and addresses per day."""
+    database = _database(spark, sf_dir)
+    upkeep.summarize(database)
+    return database
+
+
 def _stored(spark: SparkSession, sf_dir: str, spec: TableSpec) -> DataFrame:
     return _database(spark, sf_dir).table(spec)
 
@@ -278,6 +336,51 @@ def _line_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _replace_to_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per day, and both device rankings, after days were replaced by nothing."""
+    database = _emptied(spark, sf_dir)
+    rank = F.col("rank")
+    rows = database.table(ACCESS_LOGS).groupBy("date").agg(F.count("*").alias("n"))
+    nothing = F.lit(None).cast("string").alias("device_type")
+    days = rows.select(F.lit("rows").alias("what"), F.col("date").alias("first_day"), nothing, "n", F.lit(0).alias("rank"))
+    for what, spec, day in (("day", DAILY_TOP_DEVICES, "date"), ("week", WEEKLY_TOP_DEVICES, "week_start_date")):
+        top = database.table(spec)
+        days = days.unionByName(
+            top.select(F.lit(what).alias("what"), F.col(day).alias("first_day"), "device_type",
+                       F.col("request_count").alias("n"), rank)
+        )
+    return days
+
+
+def _append_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    database, second = _loaded_by_files(spark, sf_dir)
+    rows = database.table(ACCESS_LOGS).groupBy("date").agg(F.count("*").alias("rows_of_day"))
+    return rows.select(
+        "*",
+        F.lit(len(second.new_files)).cast("long").alias("new_files_left"),
+        F.lit(len(second.changed_files)).cast("long").alias("changed_files"),
+    )
+
+
+def _compacted_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    database = _compacted(spark, sf_dir)
+    rows = database.table(ACCESS_LOGS).groupBy("date").agg(
+        F.count("*").alias("rows_of_day"), F.sum("response_size").cast("double").alias("bytes_sent")
+    )
+    return rows.join(compaction.file_sizes(database, ACCESS_LOGS).select("date", "files"), "date")
+
+
+def _from_summaries(report: Callable[..., DataFrame], *args, days: bool = False) -> Query:
+    """A report on traffic and addresses per day; no row of the logs is read."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        database = _summarized(spark, sf_dir)
+        listed = [database.days(ACCESS_LOGS)] if days else []
+        return report(database.table(DAILY_TRAFFIC), database.table(DAILY_ADDRESSES), *listed, *args)
+
+    return query
+
+
 # Statements as a user types them, on the tables of the database in use.
 SQL_TEXTS = {
     "sql_daily_traffic": f"""
@@ -372,6 +475,23 @@ def access_log_queries() -> dict[str, Query]:
             "replace_one_day": lambda spark, sf_dir: _comparable(
                 _loaded_again(spark, sf_dir).table(ACCESS_LOGS)
             ),
+            "replace_to_empty": _replace_to_empty,
+            "append_new_files": _append_new_files,
+            "stored_request_counts": lambda spark, sf_dir: _loaded_in_halves(spark, sf_dir).table(REQUEST_COUNTS),
+            "kept_dropped_lines": lambda spark, sf_dir: _loaded_by_files(spark, sf_dir)[0]
+            .table(DROPPED_LINES)
+            .drop("file_path"),
+            "compacted_days": _compacted_days,
+            "scan_large_files": lambda spark, sf_dir: text_logs.scan_lines(
+                spark, _archive(spark, sf_dir), spread_above=SPREAD_ABOVE
+            ),
+            "kept_data_range_summary": _from_summaries(summaries.data_range_summary, days=True),
+            "kept_recent_daily_summary": _from_summaries(summaries.recent_daily_summary, days=True),
+            "kept_daily_traffic": _from_summaries(summaries.traffic_by_day, SINCE),
+            "kept_device_traffic": _from_summaries(summaries.traffic_by_device, SINCE, LAST),
+            "kept_status_breakdown": _from_summaries(
+                lambda traffic, _, since: summaries.status_breakdown(traffic, since), SINCE
+            ),
             "load_times": _load_times,
             "rejects_by_file": _rejects_by_file,
             "bad_time_lines": _bad_time_lines,
@@ -407,7 +527,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    statements = access_log_sql.statements(DAY, SINCE, LAST)
+    statements = access_log_sql.statements(DAY, SINCE, LAST, EMPTIED)
     if llm is not None:
         statements.update(llm.oracle_sql())
         if corpus_pipeline.ORACLE_SQL:

@@ -8,10 +8,12 @@ import sys
 from pyspark.sql import SparkSession
 
 from hitledger.operators import reports
-from hitledger.plans.batch import LoadOptions, LoadReport, refresh, run, store_dropped
-from hitledger.schemas import ACCESS_LOGS, ALL_TABLES, DAILY_TOP_DEVICES, DAILY_TOP_IPS
+from hitledger.plans.batch import LoadOptions, LoadReport, refresh, replay_dropped, run
+from hitledger.plans.newfiles import append_new_files, replace_days
+from hitledger.schemas import ACCESS_LOGS, ALL_TABLES, DAILY_TOP_DEVICES, DAILY_TOP_IPS, DROPPED_LINES
 from hitledger.session import configure_session
 from hitledger.sinks.catalog import DEFAULT_DATABASE, LogDatabase
+from hitledger.sinks.compaction import compact
 from hitledger.sources import text_logs
 
 
@@ -26,12 +28,32 @@ def arguments() -> argparse.ArgumentParser:
     parser.add_argument(
         "--spread-lines", action="store_true", help="deal lines out evenly: few, large files"
     )
+    parser.add_argument(
+        "--spread-above", type=int, metavar="BYTES", help="deal out the lines of larger files only"
+    )
+    parser.add_argument(
+        "--new-files", action="store_true", help="append only files that were not loaded before"
+    )
     parser.add_argument("--mode", choices=("append", "replace"), default="append")
     parser.add_argument("--refresh", choices=("touched", "all"), default="touched")
     parser.add_argument(
         "--refresh-only", action="store_true", help="load nothing, recompute the top-N tables"
     )
-    parser.add_argument("--dropped-path", help="also write lines without a row, and why, there")
+    parser.add_argument(
+        "--empty-days", choices=("drop", "refuse"), default="drop",
+        help="what becomes of a day to replace that has no row in the input",
+    )
+    parser.add_argument(
+        "--keep-dropped", action="store_true", help="keep lines without a row, and why, in a table"
+    )
+    parser.add_argument("--dropped-path", help="keep them in a table at this shared location")
+    parser.add_argument(
+        "--replay-dropped", action="store_true", help="only load the kept lines without a row again"
+    )
+    parser.add_argument("--summaries", action="store_true", help="also keep traffic and addresses per day")
+    parser.add_argument(
+        "--compact", action="store_true", help="afterwards put small files of access_logs together"
+    )
     parser.add_argument("--week-year", choices=("calendar", "iso"), default="calendar")
     parser.add_argument("--top-n", type=int, default=5)
     parser.add_argument(
@@ -44,7 +66,11 @@ def print_summary(database: LogDatabase, report: LoadReport) -> None:
     print(f"lines read {report.lines_read:,}, parsed {report.lines_parsed:,}")
     print(f"without a valid time {report.bad_times:,}, of other days {report.other_days:,}")
     print(f"rows enriched {report.rows_enriched:,}")
-    if report.stored:
+    if report.emptied:
+        print(f"days without rows now: {', '.join(map(str, report.emptied))}")
+    for path in getattr(report, "changed_files", []):
+        print(f"changed since it was loaded, replace its day: {path}")
+    if report.stored or report.emptied:
         print_tables(database)
     else:
         print("nothing to load")
@@ -74,32 +100,42 @@ def main(argv: list[str] | None = None) -> int:
         except ValueError as error:
             print(f"Error: {error}", file=sys.stderr)
             return 1
+    if args.new_files and args.mode == "replace":
+        parser.error("--new-files appends, --mode replace takes whole days")
     options = LoadOptions(
         mode="replace" if replaces else "append",
         replace_days=(day,) if replaces else (),
+        empty_days=args.empty_days,
         refresh=args.refresh,
         top_n=args.top_n,
         week_year=args.week_year,
         max_dropped_share=args.max_dropped_share,
+        keep_dropped=args.keep_dropped or bool(args.dropped_path),
+        summaries=args.summaries,
     )
     spark = configure_session(SparkSession.builder.appName(args.app_name).getOrCreate())
     try:
-        database = LogDatabase(spark, args.warehouse, args.database)
+        places = {DROPPED_LINES.name: args.dropped_path} if args.dropped_path else {}
+        database = LogDatabase(spark, args.warehouse, args.database, places)
         if args.refresh_only:
             refresh(database, options, [day] if day else [])
             print_tables(database)
             return 0
-        path = args.input_path
-        if replaces:
-            lines = text_logs.scan_around_days(spark, path, [day], args.hive_layout, args.spread_lines)
+        path, how = args.input_path, {"spread": args.spread_lines, "spread_above": args.spread_above}
+        if args.replay_dropped:
+            report = replay_dropped(database, options)
+        elif replaces:
+            report = replace_days(database, path, [day], options, args.hive_layout, **how)
         else:
             path = text_logs.day_path(path, day, args.hive_layout) if day else path
-            lines = text_logs.scan_lines(spark, path, args.spread_lines)
-        report = run(lines, database, options)
-        if args.dropped_path:
-            store_dropped(
-                lines if replaces else text_logs.scan_lines_by_file(spark, path), args.dropped_path
-            )
+            if args.new_files:
+                report = append_new_files(database, path, options, args.spread_above)
+            else:
+                lines = text_logs.scan_lines(spark, path, by_file=options.keep_dropped, **how)
+                report = run(lines, database, options)
+        if args.compact:
+            done = compact(database, ACCESS_LOGS)
+            print(f"files put together: {done.files_before} to {done.files_after}")
         print_summary(database, report)
     finally:
         spark.stop()

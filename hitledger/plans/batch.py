@@ -14,7 +14,7 @@ from hitledger.operators.summaries import counts_of_item
 from hitledger.operators.topn import top_of_days
 from hitledger.plans import dropped, upkeep
 from hitledger.schemas import ACCESS_LOGS, REQUEST_COUNTS, TOP_TABLES, TopTableSpec
-from hitledger.session import configure_session
+from hitledger.session import at_once, configure_session
 from hitledger.sinks import writers
 from hitledger.sinks.audit import audit_top_tables, check
 from hitledger.sinks.catalog import LogDatabase
@@ -279,7 +279,7 @@ def _refresh_top_tables(
         writers.stage(stamped, database, spec, names[spec])
 
     try:
-        writers.at_once(database.spark, rank, TOP_TABLES)
+        at_once(database.spark, rank, TOP_TABLES)
         staged = {
             spec: database.spark.table(database.qualified(name)) for spec, name in names.items()
         }

@@ -55,8 +55,7 @@ def invalidate(database: LogDatabase, days: Iterable[date]) -> None:
     days = set(days)
     for spec in DERIVED_BY_DAY:
         if database.exists(spec):
-            there = [tuple(row) for row in database.partitions(spec).collect() if row["date"] in days]
-            database.drop_partitions(spec, there)
+            database.drop_partitions(spec, [(day,) for day in days & listed_days(database, spec)])
 
 
 def _make(
@@ -68,8 +67,8 @@ def _make(
     if wanted:
         logs = rows_of_days(database.table(ACCESS_LOGS), None if days is None else wanted)
         writers.overwrite_partitions({spec: rows(logs)}, database)
-    gone = [tuple(row) for row in database.partitions(spec).collect() if row["date"] not in present]
-    database.drop_partitions(spec, gone)
+    gone = listed_days(database, spec) - present
+    database.drop_partitions(spec, [(day,) for day in gone])
 
 
 def recount(database: LogDatabase, days: set[date] | None) -> None:

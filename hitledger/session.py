@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from functools import partial
+from typing import TypeVar
 
 from pyspark.sql import SparkSession
+from pyspark.util import inheritable_thread_target
+
+Item = TypeVar("Item")
+
+#: Spark jobs that ``at_once`` has under way together at most.
+MOST_AT_ONCE = 16
 
 # Calendar columns are defined on UTC days, so the zone is part of the results.
 # Partition counts, memory and file system settings stay with the caller.
@@ -53,3 +62,18 @@ def scratch_dir(spark: SparkSession) -> str:
             " built, or call sparkContext.setCheckpointDir"
         )
     return shared.rstrip("/")
+
+
+def at_once(spark: SparkSession, task: Callable[[Item], None], items: Iterable[Item]) -> None:
+    """Run independent Spark jobs together, so that small ones fill each other's gaps.
+
+    They belong to the caller's job group and scheduler pool.
+    """
+    items = list(items)
+    if not items:
+        return
+    inherited = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(min(len(items), MOST_AT_ONCE)) as pool:
+        waiting = [pool.submit(inherited(partial(task, item))) for item in items]
+    for done in waiting:
+        done.result()

@@ -121,27 +121,38 @@ class LogDatabase:
     def drop_partitions(self, spec: TableSpec, values: Iterable[Sequence]) -> None:
         """Remove partitions with their files.
 
-        The tables have locations of their own, so that dropping a partition from the catalog
-        leaves its files. Overwriting it with no rows removes them.
+        A value of the first keys only stands for all partitions that begin with it. The tables
+        have locations of their own, so that dropping a partition from the catalog leaves its
+        files. Overwriting it with no rows removes them.
         """
-        name = self.qualified(spec.name)
-        keys = spec.partition_by
+        name, keys = self.qualified(spec.name), spec.partition_by
         kinds = {field.name: field.dataType.simpleString() for field in spec.schema}
-        stored = self.spark.table(name).schema
-        nulls = [
+        values = sorted({tuple(value) for value in values})
+        if not values:
+            return
+
+        def given(value: tuple) -> list[str]:
+            pairs = zip(keys, value, strict=False)
+            return [f"`{key}` = {_literal(kinds[key], v)}" for key, v in pairs]
+
+        columns = [
             f"CAST(NULL AS {field.dataType.simpleString()}) AS `{field.name}`"
-            for field in stored
-            if field.name not in keys
+            for field in self.spark.table(name).schema
         ]
+
+        def empty(value: tuple) -> None:
+            open_keys = [f"`{key}`" for key in keys[len(value) :]]
+            picked = [c for c in columns if not any(c.endswith(f" AS `{key}`") for key in keys[: len(value)])]
+            self.spark.sql(
+                f"INSERT OVERWRITE TABLE {name} PARTITION ({', '.join(given(value) + open_keys)})"
+                f" SELECT {', '.join(picked)} WHERE FALSE"
+            )
+
         with scoped_conf(self.spark, {"spark.sql.sources.partitionOverwriteMode": "static"}):
-            for value in values:
-                where = ", ".join(
-                    f"`{key}` = {_literal(kinds[key], v)}" for key, v in zip(keys, value, strict=True)
-                )
-                self.spark.sql(
-                    f"INSERT OVERWRITE TABLE {name} PARTITION ({where}) SELECT {', '.join(nulls)} WHERE FALSE"
-                )
-                self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({where})")
+            for value in values:  # writes to one table share a folder, so one after another
+                empty(value)
+        listed = ", ".join(f"PARTITION ({', '.join(given(value))})" for value in values)
+        self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {listed}")
 
     def new_staging_name(self, spec: TableSpec) -> str:
         return f"{STAGED}{spec.name}_{uuid.uuid4().hex}"

@@ -2,25 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterable, Sequence
 from contextlib import AbstractContextManager
-from functools import partial
-from typing import TypeVar
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.util import inheritable_thread_target
+from pyspark.sql import DataFrame, functions as F
 
 from hitledger.schemas import TableSpec
-from hitledger.session import scoped_conf
+from hitledger.session import at_once, scoped_conf
 from hitledger.sinks.catalog import LogDatabase
 
 # Rows take about this many times more bytes in a shuffle than in a snappy parquet file.
 SHUFFLE_BYTES_PER_FILE_BYTE = 3
 
-Item = TypeVar("Item")
-
-
 def in_stored_order(df: DataFrame, database: LogDatabase, spec: TableSpec) -> DataFrame:
     """Columns by name in the order of the catalog's table; what only that has is NULL.
 
@@ -69,19 +62,6 @@ def _insert(df: DataFrame, database: LogDatabase, spec: TableSpec, overwrite: bo
     rows.write.insertInto(database.qualified(spec.name), overwrite=overwrite)
 
 
-def at_once(spark: SparkSession, task: Callable[[Item], None], items: Iterable[Item]) -> None:
-    """Run independent Spark jobs together, so that small ones fill each other's gaps.
-
-    They belong to the caller's job group and scheduler pool.
-    """
-    items = list(items)
-    inherited = inheritable_thread_target(spark)
-    with ThreadPoolExecutor(len(items)) as pool:
-        waiting = [pool.submit(inherited(partial(task, item))) for item in items]
-    for done in waiting:
-        done.result()
-
-
 def append(df: DataFrame, database: LogDatabase, spec: TableSpec) -> None:
     """Add rows; columns are matched by name with those of the catalog's table."""
     with _insert_settings(database, [spec]):
