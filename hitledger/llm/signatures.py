@@ -7,7 +7,7 @@ slices of a term's bits, combined by AND, overestimate the documents that hold i
 largest count below the next level gives the most that the term can add to a score. Sums of
 these, weighted, are upper bounds of all scores.
 
-The documents with the k highest bounds are scored exactly, and the k-th best of these scores is
+Some documents with the highest bounds are scored exactly, and the k-th best of these scores is
 a cutoff. Then every document whose bound reaches the cutoff, and so every one not provably
 excluded, is scored exactly and ranked. The index is made by one pass over the texts without a
 shuffle, and does not depend on the items.
@@ -37,15 +37,18 @@ from pyspark.sql import DataFrame, Window, functions as F
 from hitledger.llm.tables import stored, text_or_empty
 from hitledger.llm.words import NOT_ALNUM, chunks, mix, slices, split_words
 
-#: Counts from which a term has one more entry: 1, 2, 3, 4, 6, 8, 12, 16 and so on.
-LEVELS = np.array([1, *(b * a for b in (2**i for i in range(1, 30)) for a in (1, 1.5))], dtype=np.int64)
+#: Counts from which a term has one more entry: 1 to 8, then 10, 12, 14, 16, 20, 24, 28, 32 and so on.
+LEVELS = np.array([*range(1, 8), *(b * a // 4 for b in (2**i for i in range(3, 30)) for a in range(4, 8))])
 #: Bits an entry sets, and bits of signature for each entry at least.
-HASHES = 4
-ROOM = 12
+HASHES = 5
+ROOM = 16
 LEAST_WIDTH, MOST_WIDTH = 256, 1 << 20
 #: Bits of a block, and documents of it, at most.
 BLOCK_BITS = 1 << 22
 BLOCK_DOCUMENTS = 1024
+#: Times k documents are scored to find the cutoff: with k of them alone, those whose bounds are
+#: furthest too high would set it.
+FIRST_TIMES = 4
 #: Terms of items that one pass over the index serves, about; they are sent to every task.
 PASS_TERMS = 1 << 15
 #: Terms whose slices are combined at once.
@@ -69,13 +72,25 @@ def term_counts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return np.diff(words.offsets), owner[at], hashes[at], np.diff(np.append(at, len(hashes)))
 
 
-def bit_positions(hashes: np.ndarray, level: int, width: int) -> np.ndarray:
-    """The HASHES bits that each term sets at a level; width is a power of two."""
-    with np.errstate(over="ignore"):
-        entry = mix(hashes + np.uint64(level) * _SPREAD)
-        step = (entry >> np.uint64(32)) | np.uint64(1)
-        found = entry[:, None] + np.arange(HASHES, dtype=np.uint64) * step[:, None]
-    return (found & np.uint64(width - 1)).astype(np.int64)
+def bit_positions(hashes: np.ndarray, levels: np.ndarray, widths: np.ndarray) -> np.ndarray:
+    """The HASHES bits that each term sets at a level in a signature; widths are powers of two."""
+    entry = mix(hashes + levels.astype(np.uint64) * _SPREAD)
+    step = (entry >> np.uint64(32)) | np.uint64(1)
+    found = entry[:, None] + np.arange(HASHES, dtype=np.uint64) * step[:, None]
+    return (found & (widths.astype(np.uint64) - np.uint64(1))[:, None]).astype(np.int64)
+
+
+def signature_widths(entries: np.ndarray) -> np.ndarray:
+    """Bits for documents with so many entries: a power of two, so that like sizes share a block."""
+    room = np.clip(entries * ROOM, LEAST_WIDTH, MOST_WIDTH)
+    return 1 << np.ceil(np.log2(room)).astype(np.int64)
+
+
+def entries_of(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of terms and their counts: how many levels each reaches, and every entry's term and level."""
+    reached = np.searchsorted(LEVELS, counts, side="right")
+    levels = np.arange(reached.sum()) - np.repeat(np.cumsum(reached) - reached, reached)
+    return reached, np.repeat(hashes, reached), levels
 
 
 def capacity(width: int) -> int:
@@ -95,13 +110,8 @@ class Block:
     def __post_init__(self) -> None:
         self.bits = np.zeros((self.width, capacity(self.width)), dtype=bool)
 
-    def add(self, key, size: int, hashes: np.ndarray, counts: np.ndarray) -> None:
-        slot = len(self.keys)
-        for level, least in enumerate(LEVELS):
-            reached = hashes[counts >= least]
-            if not len(reached):
-                break
-            self.bits[bit_positions(reached, level, self.width), slot] = True
+    def add(self, key, size: int, hashes: np.ndarray, bits: np.ndarray) -> None:
+        self.bits[bits, len(self.keys)] = True
         self.keys.append(key)
         self.sizes.append(size)
         self.terms.append(hashes)
@@ -127,14 +137,23 @@ def _blocks(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa
             texts = [value.encode("utf-8", "surrogatepass") for value in part.column(1).to_pylist()]
             for run in chunks([len(text) for text in texts]):
                 sizes, owner, hashes, counts = term_counts(texts[run.start : run.stop])
-                entries = np.bincount(owner, np.searchsorted(LEVELS, counts, side="right"), len(run))
-                bounds = np.searchsorted(owner, np.arange(len(run) + 1))
+                reached, terms, levels = entries_of(hashes, counts)
+                of_entry = np.repeat(owner, reached)
+                widths = signature_widths(np.bincount(of_entry, minlength=len(run)))
+                bits = bit_positions(terms, levels, widths[of_entry])
+                places = np.arange(len(run) + 1)
+                first, first_entry = np.searchsorted(owner, places), np.searchsorted(of_entry, places)
                 for i in np.flatnonzero(sizes):
-                    room = max(LEAST_WIDTH, int(entries[i]) * ROOM)
-                    width = min(MOST_WIDTH, 1 << (room - 1).bit_length())
-                    block = open_blocks.setdefault(width, Block(width))
-                    inside = slice(bounds[i], bounds[i + 1])
-                    block.add(keys[run.start + i], int(sizes[i]), hashes[inside], counts[inside])
+                    width = int(widths[i])
+                    if width not in open_blocks:
+                        open_blocks[width] = Block(width)
+                    block = open_blocks[width]
+                    block.add(
+                        keys[run.start + i],
+                        int(sizes[i]),
+                        hashes[first[i] : first[i + 1]],
+                        bits[first_entry[i] : first_entry[i + 1]].ravel(),
+                    )
                     if len(block.keys) == capacity(width):
                         yield pa.RecordBatch.from_pylist([open_blocks.pop(width).row()], schema)
     for block in open_blocks.values():
@@ -214,7 +233,8 @@ class Query:
             reached = np.zeros((len(terms), len(sizes)), dtype=np.int8)
             active, held = np.arange(len(terms)), None
             for level in range(len(LEVELS)):
-                at = bit_positions(terms[active], level, width)
+                same = np.full(len(active), level), np.full(len(active), width)
+                at = bit_positions(terms[active], *same)
                 found = planes[at[:, 0]]
                 for k in range(1, HASHES):
                     found = found & planes[at[:, k]]
@@ -418,8 +438,9 @@ def search(
         query = _query_of(picked, by_term, *totals)
         if not len(query.terms):
             continue
-        leading = blocks.mapInArrow(highest_bounds(query, k), f"item int, key {kind}, bound long")
-        first = _ranked(leading, k, "bound").select("item", "key")
+        most = FIRST_TIMES * k
+        leading = blocks.mapInArrow(highest_bounds(query, most), f"item int, key {kind}, bound long")
+        first = _ranked(leading, most, "bound").select("item", "key")
         known = _ranked(_resolved(documents, first, query, np.ones(len(picked), np.int64)), k, "score")
         # one row for each item of the pass
         lowest = known.groupBy("item").agg(F.min("score").alias("score"), F.count("*").alias("n")).collect()

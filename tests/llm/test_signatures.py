@@ -79,7 +79,9 @@ def test_bounds_are_never_below_scores_and_mostly_close():
     assert list(sizes) == [sum(found.values()) for found in counted]
     block = signatures.Block(1024)
     for i in range(200):
-        block.add(i, int(sizes[i]), hashes[owner == i], counts[owner == i])
+        _, terms, levels = signatures.entries_of(hashes[owner == i], counts[owner == i])
+        bits = signatures.bit_positions(terms, levels, np.full(len(terms), 1024))
+        block.add(i, int(sizes[i]), hashes[owner == i], bits.ravel())
     row = block.row()
     terms = np.unique(hashes[owner < 200])
     weights = np.arange(1, len(terms) + 1)
