@@ -15,7 +15,7 @@ from hitledger.operators.topn import top_of_days
 from hitledger.plans import dropped, upkeep
 from hitledger.schemas import ACCESS_LOGS, REQUEST_COUNTS, TOP_TABLES, TopTableSpec
 from hitledger.session import at_once, configure_session
-from hitledger.sinks import writers
+from hitledger.sinks import layout, writers
 from hitledger.sinks.audit import audit_top_tables, check
 from hitledger.sinks.catalog import LogDatabase
 
@@ -215,8 +215,9 @@ def _load_access_logs(
         all_staged = database.spark.table(database.qualified(staged))
         rows = all_staged.where(good).select(*ACCESS_LOGS.columns)
         counts["rows_staged"] = rows.count()  # from the footers, or from one column
-        # One value per partition to be written, so no longer than the table's own listing.
-        report.days = sorted(row["date"] for row in rows.select("date").distinct().collect() if row["date"])
+        # One row per partition to be written, so no longer than the table's own listing.
+        of_day = {row["date"]: row["count"] for row in rows.groupBy("date").count().collect() if row["date"]}
+        report.days = sorted(of_day)
         without = sorted(owned - set(report.days))
         lost = report.lines_rejected + report.bad_times
         rules = {
@@ -238,11 +239,14 @@ def _load_access_logs(
         there = upkeep.listed_days(database, ACCESS_LOGS) if without else set()
         report.emptied = sorted(there & set(without))
         upkeep.invalidate(database, report.days + report.emptied)
+        each = layout.bytes_per_row(all_staged, all_staged.count()) if of_day else 0
+        counted = [((day,), of_day[day]) for day in report.days]
+        files = layout.files_for(counted, each, ACCESS_LOGS.target_file_bytes)
         if options.mode == "replace":
             mine = {ACCESS_LOGS: [(day,) for day in owned]}
-            writers.replace_owned({ACCESS_LOGS: rows}, mine, database)
+            writers.replace_owned({ACCESS_LOGS: rows}, mine, database, {ACCESS_LOGS: files})
         elif report.days:
-            writers.append(rows, database, ACCESS_LOGS)
+            writers.append(rows, database, ACCESS_LOGS, files)
         if report.days:
             report.stored[ACCESS_LOGS.name] = report.rows_enriched
         if options.keep_dropped:

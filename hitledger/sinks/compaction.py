@@ -17,6 +17,7 @@ from hitledger.session import configure_session, scoped_conf
 from hitledger.sinks import writers
 from hitledger.sinks.audit import AuditError
 from hitledger.sinks.catalog import LogDatabase
+from hitledger.sinks.layout import by_files
 
 
 @dataclass(frozen=True)
@@ -70,30 +71,6 @@ def _is_one_of(spec: TableSpec, chosen: list) -> Column:
     return reduce(Column.__or__, each)
 
 
-def _file_number(rows: DataFrame, spec: TableSpec, plan: DataFrame) -> DataFrame:
-    """Rows with ``_file``: which of all files to be written a row goes to.
-
-    The files of a partition are ranges of the first column it is sorted by where that is a
-    time, so that a reader of some hours opens few; otherwise rows are dealt out by a hash.
-    """
-    first = spec.order_by[0] if spec.order_by else None
-    kinds = dict(rows.dtypes)
-    planned = rows.join(F.broadcast(plan), list(spec.partition_by))
-    if first and kinds[first] == "timestamp":
-        at = F.unix_micros(first)
-        shares = [i / 32 for i in range(1, 32)]
-        edges = rows.groupBy(*spec.partition_by).agg(F.percentile_approx(at, shares).alias("_edges"))
-        placed = planned.join(F.broadcast(edges), list(spec.partition_by))
-        below = F.size(F.filter("_edges", lambda edge: edge < at))
-        # 32 ranges with equal numbers of rows, put together into as many as are needed
-        part = F.floor(below * F.col("needed") / 32)
-        fine = F.pmod(F.xxhash64(*spec.columns), F.col("needed"))
-        number = F.when(F.col("needed") <= 32, part).otherwise(fine)
-        return placed.withColumn("_file", (F.col("_first") + number).cast("int")).drop("_edges")
-    number = F.pmod(F.xxhash64(*spec.columns), F.col("needed"))
-    return planned.withColumn("_file", (F.col("_first") + number).cast("int"))
-
-
 def compact(database: LogDatabase, spec: TableSpec, target_bytes: int | None = None) -> CompactionReport:
     """Rewrite the fragmented partitions of a table into files of about ``target_bytes``.
 
@@ -107,29 +84,19 @@ def compact(database: LogDatabase, spec: TableSpec, target_bytes: int | None = N
     chosen = fragmented(file_sizes(database, spec), target).orderBy(*keys).collect()
     if not chosen:
         return CompactionReport()
-    firsts, total = [], 0
-    for row in chosen:
-        firsts.append(total)
-        total += row["needed"]
-    kinds = {field.name: field.dataType.simpleString() for field in spec.schema}
-    ddl = ", ".join(f"`{key}` {kinds[key]}" for key in keys) + ", needed int, _first int"
-    plan = spark.createDataFrame(
-        [(*(row[key] for key in keys), row["needed"], first) for row, first in zip(chosen, firsts, strict=True)], ddl
-    )
     table = spark.table(database.qualified(spec.name))
     rows = table.where(_is_one_of(spec, chosen))
     name = database.new_staging_name(spec)
     writers.stage_rows(rows, database, name)
     staged = spark.table(database.qualified(name))
     count = staged.count()
-    numbered = _file_number(staged, spec, plan)
-    gathered = numbered.repartitionById(total, F.col("_file")).sortWithinPartitions(*keys, *spec.order_by)
+    files = [(tuple(row[key] for key in keys), row["needed"]) for row in chosen]
     with scoped_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
-        ordered = gathered.select(*[F.col(column) for column in table.columns])
-        ordered.write.insertInto(database.qualified(spec.name), overwrite=True)
+        gathered = by_files(staged.select(*table.columns), spec, files)
+        gathered.write.insertInto(database.qualified(spec.name), overwrite=True)
     after = spark.table(database.qualified(spec.name)).where(_is_one_of(spec, chosen)).count()
     if after != count:
         raise AuditError(spec.name, [f"rows changed; they are kept in {name}"], {"before": count, "after": after})
     writers.drop_staged(database, name)
-    files = file_sizes(database, spec).where(_is_one_of(spec, chosen)).agg(F.sum("files")).first()[0]
-    return CompactionReport(len(chosen), sum(row["files"] for row in chosen), files, count)
+    left = file_sizes(database, spec).where(_is_one_of(spec, chosen)).agg(F.sum("files")).first()[0]
+    return CompactionReport(len(chosen), sum(row["files"] for row in chosen), left, count)

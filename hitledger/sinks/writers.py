@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, functions as F
 from hitledger.schemas import TableSpec
 from hitledger.session import at_once, scoped_conf
 from hitledger.sinks.catalog import LogDatabase
+from hitledger.sinks.layout import Files, by_files
 
-# Rows take about this many times more bytes in a shuffle than in a snappy parquet file.
+# Rows take about this many times more bytes in a shuffle than in a snappy parquet file. Only
+# writes of rows that were not staged rely on it; for staged ones sizes are measured.
 SHUFFLE_BYTES_PER_FILE_BYTE = 3
 
 def in_stored_order(df: DataFrame, database: LogDatabase, spec: TableSpec) -> DataFrame:
@@ -57,18 +59,32 @@ def _insert_settings(
     return scoped_conf(database.spark, settings)
 
 
-def _insert(df: DataFrame, database: LogDatabase, spec: TableSpec, overwrite: bool) -> None:
-    rows = _gathered(df, database, spec)
+def _insert(
+    df: DataFrame, database: LogDatabase, spec: TableSpec, overwrite: bool, files: Files | None = None
+) -> None:
+    if files:
+        rows = by_files(in_stored_order(df, database, spec), spec, files)
+    else:
+        rows = _gathered(df, database, spec)
     rows.write.insertInto(database.qualified(spec.name), overwrite=overwrite)
 
 
-def append(df: DataFrame, database: LogDatabase, spec: TableSpec) -> None:
-    """Add rows; columns are matched by name with those of the catalog's table."""
+def append(
+    df: DataFrame, database: LogDatabase, spec: TableSpec, files: Files | None = None
+) -> None:
+    """Add rows; columns are matched by name with those of the catalog's table.
+
+    ``files`` has all partitions of the rows with the number of files each gets.
+    """
     with _insert_settings(database, [spec]):
-        _insert(df, database, spec, overwrite=False)
+        _insert(df, database, spec, overwrite=False, files=files)
 
 
-def overwrite_partitions(results: dict[TableSpec, DataFrame], database: LogDatabase) -> None:
+def overwrite_partitions(
+    results: dict[TableSpec, DataFrame],
+    database: LogDatabase,
+    files: dict[TableSpec, Files] | None = None,
+) -> None:
     """In each table replace the partitions that occur in its rows, and leave the others.
 
     Each partition is replaced on its own: plain parquet has no transaction over several,
@@ -77,7 +93,7 @@ def overwrite_partitions(results: dict[TableSpec, DataFrame], database: LogDatab
     with _insert_settings(database, results):
         at_once(
             database.spark,
-            lambda spec: _insert(results[spec], database, spec, overwrite=True),
+            lambda spec: _insert(results[spec], database, spec, True, (files or {}).get(spec)),
             results,
         )
 
@@ -86,6 +102,7 @@ def replace_owned(
     results: dict[TableSpec, DataFrame],
     owned: dict[TableSpec, Iterable[Sequence]],
     database: LogDatabase,
+    files: dict[TableSpec, Files] | None = None,
 ) -> dict[TableSpec, list[tuple]]:
     """Make the owned partitions of each table hold its rows and nothing else.
 
@@ -93,7 +110,7 @@ def replace_owned(
     there. Gives the dropped ones. Partitions that are not owned stay as they are, so rows of
     such partitions must not be among the results.
     """
-    overwrite_partitions(results, database)
+    overwrite_partitions(results, database, files)
     dropped = {}
     for spec, rows in results.items():
         wanted = {tuple(value) for value in owned[spec]}

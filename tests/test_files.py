@@ -207,6 +207,32 @@ def test_files_of_many_appends_are_put_together(spark, database):
     assert database.staged_tables() == []
 
 
+def test_published_files_have_the_size_that_was_measured(spark, database, monkeypatch):
+    """A hot day with a third of the rows gets more files than the others, and more tasks."""
+    database.create()
+    lines = spark.range(0, 30_000, 1, 6).select(
+        F.concat(
+            F.lit("10.0.0.1 - - ["), F.when(F.col("id") % 3 == 0, "05").otherwise(
+                F.lpad((F.col("id") % 10 + 6).cast("string"), 2, "0")),
+            F.lit("/Jan/2025:"), F.lpad((F.xxhash64("id") % 12 + 12).cast("string"), 2, "0"),
+            F.lit(':00:00 +0000] "GET /'), F.xxhash64("id").cast("string"), F.lit(' HTTP/1.1" 200 10 "-" "curl"'),
+        ).alias("value")
+    )
+    target = 60 * 1024
+    monkeypatch.setattr(batch, "ACCESS_LOGS", type(ACCESS_LOGS)(
+        ACCESS_LOGS.name, ACCESS_LOGS.schema, ACCESS_LOGS.partition_by, target, ACCESS_LOGS.order_by))
+    batch.run(lines, database)
+    sizes = {r["date"].day: r for r in compaction.file_sizes(database, ACCESS_LOGS).collect()}
+    assert sizes[5]["files"] >= 3 and max(sizes[day]["files"] for day in sizes if day != 5) <= sizes[5]["files"] - 2
+    assert all(0.2 * target < r["bytes"] / r["files"] < 2 * target for r in sizes.values())
+    assert len(rows_of(database, ACCESS_LOGS)) == 30_000
+    days = tuple(dt.date(2025, 1, day) for day in sizes)
+    batch.run(lines, database, LoadOptions(mode="replace", replace_days=days))
+    assert {r["date"].day: r["files"] for r in compaction.file_sizes(database, ACCESS_LOGS).collect()} == {
+        day: r["files"] for day, r in sizes.items()
+    }
+
+
 def test_compaction_of_a_weekly_table_and_of_nothing(spark, database):
     assert compaction.compact(database.create(), ACCESS_LOGS) == compaction.CompactionReport()
     for i in range(3):
