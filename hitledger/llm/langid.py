@@ -8,7 +8,11 @@ sorted arrays of sequence hashes, searched by bisection, with a column of log pr
 for each language. The language with the lowest cross-entropy per character wins; texts whose
 cross-entropy is far above that of their language's training texts are rejected.
 
-Edge cases: a text that is null or has no letter gets ``und``, score 0 and is rejected; with
+A sequence is known by its whole hash of 64 bits, and the entries grow with the corpus. Up to
+MOST_ENTRIES of them the arrays are made on the driver and broadcast; beyond, ``langjoin`` makes
+the same model as tables, by joins, and scores distinct words by joins with them.
+
+Edge cases: a very long text is scored part by part, whole; a text that is null or has no letter gets ``und``, score 0 and is rejected; with
 no training rows every text does; rows whose text or language is null train nothing; equal
 cross-entropies go to the language that sorts first; equal rows get equal results; an empty
 table gives an empty result; other columns are not read.
@@ -25,15 +29,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from hitledger.llm import langjoin
 from hitledger.llm.tables import stored
-from hitledger.llm.words import mix
+from hitledger.llm.words import mix, slices
 
 UNDETERMINED = "und"
 ORDER = 5
-#: Sequences are kept by so many bits of their hash. A model has at most 2**HASH_BITS entries
-#: for each order and language, whatever the size of the corpus; sequences that share the bits
-#: share an entry.
-HASH_BITS = 18
+#: Entries of all orders and languages that the driver takes and broadcasts at most, some 60
+#: bytes each for the driver and 12 and 4 for each language for a worker.
+MOST_ENTRIES = 3_000_000
 #: Chance of a character that training never saw, before discounts.
 UNSEEN_CHARACTER = 1e-4
 #: Characters after which a score counts as certain as it gets.
@@ -41,9 +45,10 @@ SCORE_CHARACTERS = 40
 #: The rejection limit is a multiple of the excess that few of the training texts pass.
 CALIBRATION_QUANTILE = 0.999
 CALIBRATION_FACTOR = 2.0
-#: Nats per character above the usual that no text is rejected within, so that a text is not
-#: rejected for a few odd words.
+#: Nats per character above the usual that a text with fewer letters than that is not rejected
+#: within, so that it is not for a few odd words. Longer ones go by the calibrated limit alone.
 CALIBRATION_GAP = 1.5
+GAP_CHARACTERS = 200
 #: Longer texts get the limit of texts of this length.
 CALIBRATION_CHARACTERS = 400
 #: Steps to a nat that cross-entropies are counted in for the limits, so that a language has a
@@ -102,10 +107,10 @@ def sequences(words: list[str]) -> Sequences:
 
 
 def _entry(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - HASH_BITS)).astype(np.int32)
+    return hashes.view(np.int64)
 
 
-COUNTS = "lang string, ord int, gram int, suffix int, context int, n long, whole boolean"
+COUNTS = "lang string, ord int, gram long, suffix long, context long, n long, whole boolean"
 
 
 def _count_rows(lang: str, counts: Counter[str]) -> pa.RecordBatch:
@@ -180,19 +185,19 @@ def _at(entries: np.ndarray, sought: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def kneser_ney(counts: pa.Table) -> Model:
-    """The models from added-up counts, at most 2**HASH_BITS rows for each order and language."""
+    """The models from added-up counts."""
     columns = {name: counts.column(name).to_numpy() for name in counts.column_names if name != "lang"}
     names = counts.column("lang").combine_chunks().dictionary_encode() if len(counts) else None
     if names is None:
         empty = np.empty((0, 0))
-        blank = [np.empty(0, np.int32)] * (ORDER + 1)
+        blank = [np.empty(0, np.int64)] * (ORDER + 1)
         return Model([], blank, [empty] * (ORDER + 1), blank, [empty] * (ORDER + 1), *[np.empty(0)] * 3)
     listed = names.dictionary.to_pylist()
     languages = sorted(listed)
     lang = np.array([languages.index(name) for name in listed])[names.indices.to_numpy()]
-    grams = [np.empty(0, np.int32)]
+    grams = [np.empty(0, np.int64)]
     log_p: list[np.ndarray] = [np.empty((0, 0))]
-    contexts = [np.empty(0, np.int32)]
+    contexts = [np.empty(0, np.int64)]
     log_weight: list[np.ndarray] = [np.empty((0, 0))]
     below = np.empty((0, len(languages)))
     base = np.zeros(len(languages))
@@ -230,8 +235,8 @@ def kneser_ney(counts: pa.Table) -> Model:
                 lower = below[at, k]
             own = np.maximum(value - discount, 0) / np.maximum(total[group], 1)
             p[:, k] = own + weight[group, k] * lower
-        grams.append(entries.astype(np.int32))
-        contexts.append(held.astype(np.int32))
+        grams.append(entries)
+        contexts.append(held)
         log_p.append(np.log(p).astype(np.float32))
         log_weight.append(np.log(weight).astype(np.float32))
         below = p
@@ -328,7 +333,6 @@ def _decide(model: Model, sums: np.ndarray, sizes: np.ndarray) -> dict[str, np.n
             "lang_pred": np.full(count, UNDETERMINED, object),
             "score": np.zeros(count),
             "cross_entropy": np.full(count, np.nan),
-            "rejected": np.ones(count, bool),
         }
     letters = sizes > 0
     each = -sums / np.maximum(sizes, 1)[:, None]
@@ -336,15 +340,11 @@ def _decide(model: Model, sums: np.ndarray, sizes: np.ndarray) -> dict[str, np.n
     lowest = each[np.arange(count), best]
     power = np.minimum(sizes, SCORE_CHARACTERS)[:, None]
     score = 1 / np.exp(-(each - lowest[:, None]) * power).sum(axis=1)
-    above = lowest - model.usual[best]
-    excess = above * np.sqrt(np.minimum(sizes, CALIBRATION_CHARACTERS))
-    far = (above > CALIBRATION_GAP) & (excess > model.excess[best])
     names = np.array(model.languages, object)
     return {
         "lang_pred": np.where(letters, names[best], UNDETERMINED),
         "score": np.where(letters, score, 0.0),
         "cross_entropy": np.where(letters, lowest, np.nan),
-        "rejected": ~letters | far,
     }
 
 
@@ -373,14 +373,8 @@ def _training(rows: DataFrame, known: Column, lang: str, text: str) -> DataFrame
     return rows.where(known & F.col(lang).isNotNull() & F.col(text).isNotNull())
 
 
-def train(
-    rows: DataFrame, known: Column, key: str = "doc_id", text: str = "text", lang: str = "lang"
-) -> Model:
-    """Models of all languages in the rows known to be labelled rightly, with limits.
-
-    The driver receives one row for each order, language and entry, see HASH_BITS, and two
-    for each language with its limits, which all training texts set.
-    """
+def counted(rows: DataFrame, known: Column, text: str = "text", lang: str = "lang") -> DataFrame:
+    """Counts of the sequences in the training texts, by language and order, stored."""
     training = _training(rows, known, lang, text)
     counts = (
         training.select(F.col(lang).cast("string"), F.col(text).cast("string"))
@@ -393,13 +387,52 @@ def train(
             F.max("whole").alias("whole"),
         )
     )
-    model = kneser_ney(counts.toArrow())
-    if not model.languages:
-        return model
-    _calibrate(model, training, key, text)
+    return stored(counts, "counts")
+
+
+def models(rows: DataFrame, known: Column, text: str = "text", lang: str = "lang") -> Model | langjoin.Tables:
+    """Models of all languages in the rows known to be labelled rightly, without limits.
+
+    The driver receives at most MOST_ENTRIES entries; a larger model stays in tables.
+    """
+    counts = counted(rows, known, text, lang)
+    if counts.count() <= MOST_ENTRIES:
+        return kneser_ney(counts.toArrow())
+    return langjoin.kneser_ney(counts)
+
+
+def train(
+    rows: DataFrame, known: Column, key: str = "doc_id", text: str = "text", lang: str = "lang"
+) -> Model | langjoin.Tables:
+    """The models with limits, which all training texts set.
+
+    The driver receives two rows for each language with its limits.
+    """
+    model = models(rows, known, text, lang)
+    if model.languages:
+        scored = score_rows(_training(rows, known, lang, text), model, text, [])
+        _calibrate(model, stored(scored, "calibration"))
     return model
 
 
+def learn_and_identify(
+    rows: DataFrame, known: Column, key: str = "doc_id", text: str = "text", lang: str = "lang",
+    keep: list[str] | None = None,
+) -> DataFrame:
+    """``identify`` by what the known rows teach, with every text scored once.
+
+    The limits come from the scores of the known rows. keep names columns that pass through.
+    """
+    model = models(rows, known, text, lang)
+    passed = [key, *(name for name in keep or [] if name != key)]
+    trains = known & F.col(lang).isNotNull() & F.col(text).isNotNull()
+    marked = rows.select(*passed, *([] if text in passed else [text]), trains.alias("__trains"))
+    scored = stored(score_rows(marked, model, text, [*passed, "__trains"]), "scores")
+    if model.languages:
+        _calibrate(model, scored.where("__trains"))
+    return with_rejected(scored, model).drop("__trains")
+
+
 def _quantiles(scored: DataFrame, value: Column, share: float) -> dict[str, float]:
     """A quantile of a value by language, to within a step."""
     step = F.round(value * CALIBRATION_STEPS).cast("long")
@@ -413,10 +446,9 @@ def _quantiles(scored: DataFrame, value: Column, share: float) -> dict[str, floa
     return {row["lang_pred"]: row["step"] / CALIBRATION_STEPS for row in rows}
 
 
-def _calibrate(model: Model, training: DataFrame, key: str, text: str) -> None:
+def _calibrate(model: Model | langjoin.Tables, scored: DataFrame) -> None:
     """Set the limits from all training texts, by the language each is found to be in."""
-    found = identify(training, model, key, text).where("not rejected")
-    scored = stored(found.select("lang_pred", "cross_entropy", "n_letters"), "calibration")
+    scored = scored.where("n_letters > 0")
     usual = _quantiles(scored, F.col("cross_entropy"), 0.5)
     if not usual:
         return
@@ -430,19 +462,32 @@ def _calibrate(model: Model, training: DataFrame, key: str, text: str) -> None:
             model.excess[k] = CALIBRATION_FACTOR * excess[name]
 
 
-def identify(
-    rows: DataFrame, model: Model, key: str = "doc_id", text: str = "text", keep: list[str] | None = None
-) -> DataFrame:
-    """Key, lang_pred, score, cross_entropy, n_letters and rejected of every row.
+def with_rejected(scored: DataFrame, model: Model | langjoin.Tables) -> DataFrame:
+    """Scores with ``rejected``, by the limits of the model's languages."""
+    n = F.col("n_letters")
 
-    keep names columns that pass through. The model goes to the executors as a broadcast.
-    """
+    def of_language(values: np.ndarray) -> Column:
+        chain = F.lit(None).cast("double")
+        for name, value in zip(model.languages, values.tolist(), strict=True):
+            chain = F.when(F.col("lang_pred") == name, F.lit(float(value))).otherwise(chain)
+        return chain
+
+    above = F.col("cross_entropy") - of_language(model.usual)
+    excess = above * F.sqrt(F.least(n, F.lit(CALIBRATION_CHARACTERS)))
+    tolerated = (n < GAP_CHARACTERS) & (above <= CALIBRATION_GAP)
+    far = ~tolerated & (excess > of_language(model.excess))
+    return scored.withColumn("rejected", (n == 0) | F.coalesce(far, F.lit(True)))
+
+
+def score_rows(rows: DataFrame, model: Model | langjoin.Tables, text: str, passed: list[str]) -> DataFrame:
+    """The passed columns, lang_pred, score, cross_entropy and n_letters of every row."""
+    if isinstance(model, langjoin.Tables):
+        return langjoin.score_rows(rows, model, text, passed)
     shared = rows.sparkSession.sparkContext.broadcast(model)
-    passed = [key, *(name for name in keep or [] if name not in (key, text))]
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordScores(shared.value)
-        for batch in batches:
+        for batch in (part for batch in batches for part in slices(batch, 0)):
             made = _of_batch(words, batch.column(0))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], *(pa.array(made[name]) for name in ADDED)],
@@ -451,29 +496,45 @@ def identify(
 
     picked = rows.select(F.col(text).cast("string").alias("__text"), *[F.col(c) for c in passed])
     names = [f"c{i}" for i in range(len(passed))]
-    kinds = [picked.schema[c].dataType.simpleString() for c in passed]
+    kinds = [picked.schema[i + 1].dataType.simpleString() for i in range(len(passed))]
     schema = ", ".join([*map(" ".join, zip(names, kinds, strict=True)), *map(" ".join, ADDED.items())])
     out = picked.toDF("__text", *names).mapInArrow(predict, schema)
     return out.select(*[F.col(n).alias(c) for n, c in zip(names, passed, strict=True)], *ADDED)
 
 
-def accepted_rows(rows: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The rows, whole, that identify does not reject."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+def identify(
+    rows: DataFrame, model: Model | langjoin.Tables, key: str = "doc_id", text: str = "text",
+    keep: list[str] | None = None,
+) -> DataFrame:
+    """Key, lang_pred, score, cross_entropy, n_letters and rejected of every row.
 
-    def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordScores(shared.value)
-        for batch in batches:
-            made = _of_batch(words, batch.column(batch.schema.names.index(text)))
-            yield batch.filter(pa.array(~made["rejected"]))
+    keep names columns that pass through.
+    """
+    passed = [key, *(name for name in keep or [] if name not in (key, text))]
+    return with_rejected(score_rows(rows, model, text, passed), model)
 
-    return rows.mapInArrow(select, rows.schema)
 
+def accepted_rows(rows: DataFrame, known: Column, text: str = "text", lang: str = "lang") -> DataFrame:
+    """The rows, whole, that are not rejected by what the known ones teach.
 
+    Every text is scored once: rows go to the shared folder with their scores, the limits come
+    from these, and what is within them is read back.
+    """
+    names = [f"__{i}" for i in range(len(rows.columns))]
+    place = {name: names[i] for i, name in enumerate(rows.columns)}
+    whole = rows.withColumn("__known", known).toDF(*names, "__known")
+    model = models(whole, F.col("__known"), place[text], place[lang])
+    scored = stored(score_rows(whole, model, place[text], [*names, "__known"]), "scores")
+    if model.languages:
+        _calibrate(model, _training(scored, F.col("__known"), place[lang], place[text]))
+    kept = with_rejected(scored, model).where("NOT rejected")
+    return kept.select(*[F.col(n).alias(c) for n, c in zip(names, rows.columns, strict=True)])
+
+
+#: What scoring adds to a row.
 ADDED = {
     "lang_pred": "string",
     "score": "double",
     "cross_entropy": "double",
     "n_letters": "long",
-    "rejected": "boolean",
 }

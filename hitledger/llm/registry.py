@@ -33,8 +33,7 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = fold_of(F.col("doc_id"), 4) == 2
     documents = read_table(spark, sf_dir, "documents")
-    model = langid.train(documents, ~held_out)
-    return langid.identify(documents, model).select(
+    return langid.learn_and_identify(documents, ~held_out).select(
         "doc_id", held_out.alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected"
     )
 

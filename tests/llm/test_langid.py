@@ -119,3 +119,48 @@ def test_limits_come_from_all_texts(spark):
     np.testing.assert_allclose(model.usual[at], usual, atol=2e-3)
     limit = langid.CALIBRATION_FACTOR * np.quantile(excess, langid.CALIBRATION_QUANTILE)
     np.testing.assert_allclose(model.excess[at], limit, atol=5e-2)
+
+
+def test_a_model_in_tables_gives_the_same(spark, monkeypatch):
+    """Beyond the size of a broadcast, model and scores come from joins."""
+    documents = spark.read.parquet(f"{compare.testdata('sf0.001')}/documents.parquet")
+    odd = [(None, "ñandú zzz", "fr", "s", 1), (900, None, "de", "s", 1), (901, "12 !", None, "s", 1), (902, "", "en", "s", 1)]
+    documents = documents.unionByName(spark.createDataFrame(odd * 2, documents.schema))
+    known = F.col("lang").isNotNull() & (F.coalesce("doc_id", F.lit(1)) % 4 != 2)
+    by_row = lambda df: sorted(map(tuple, df.select("doc_id", "lang_pred", "rejected", "n_letters", "score", F.nanvl("cross_entropy", F.lit(-1.0))).collect()), key=str)
+    want = by_row(langid.learn_and_identify(documents, known))
+    model = langid.train(documents, known)
+    assert by_row(langid.identify(documents, model)) == want
+    kept = langid.accepted_rows(documents, known)
+    assert kept.columns == documents.columns
+    monkeypatch.setattr(langid, "MOST_ENTRIES", 0)
+    got = by_row(langid.learn_and_identify(documents, known))
+    assert len(got) == len(want) == documents.count()
+    for mine, plain in zip(got, want, strict=True):
+        assert mine[:4] == plain[:4]
+        np.testing.assert_allclose(mine[4:], plain[4:], rtol=1e-4)
+    order = lambda df: sorted(map(tuple, df.collect()), key=str)
+    assert order(langid.accepted_rows(documents, known)) == order(kept)
+    assert 0 < kept.count() < documents.count()
+    assert langid.learn_and_identify(documents.limit(0), known).collect() == []
+    assert {r.lang_pred for r in langid.learn_and_identify(documents, F.lit(False)).collect()} == {"und"}
+
+
+def test_predictions_on_whole_texts_equal_the_plain_model(spark):
+    """lang_pred and cross-entropy of whole texts by the textbook recursion."""
+    rows = spark.read.parquet(f"{compare.testdata('sf0.001')}/documents.parquet").where("length(text) < 1500").collect()
+    counts = defaultdict(Counter)
+    for row in rows:
+        if row.lang and row.doc_id % 2:
+            counts[row.lang].update(langid.words_of(row.text))
+    plain = {name: plain_model(words) for name, words in counts.items()}
+    df = spark.createDataFrame(rows)
+    got = {r.doc_id: r for r in langid.learn_and_identify(df, F.col("doc_id") % 2 == 1).collect()}
+    asked = [row for row in rows if row.doc_id % 2 == 0 and langid.words_of(row.text)][:6]
+    for row in asked:
+        words = langid.words_of(row.text)
+        size = sum(map(len, words)) + len(words)
+        each = {name: -sum(log_p(word) for word in words) / size for name, log_p in plain.items()}
+        assert got[row.doc_id].lang_pred == min(each, key=each.get)
+        np.testing.assert_allclose(got[row.doc_id].cross_entropy, min(each.values()), rtol=1e-3)
+    assert len(asked) == 6
