@@ -70,11 +70,11 @@ def _url(event: Column) -> Column:
     kind = F.col("event_type")
     number = (event % 50).cast("string")
     base = (
-        F.when(kind == "view", F.concat(F.lit("/products/"), number, F.lit(".html")))
-        .when(kind == "click", F.lit("/static/app.v2.js?ver=3"))
-        .when(kind == "purchase", F.concat(F.lit("/api/v1/orders?id="), number, F.lit("&f=a.jpg")))
-        .when(kind == "signup", F.lit("/login"))
-        .otherwise(F.lit("/img/logo.PNG"))
+        F.when(kind == "view", F.concat(F.lit("/garden/seed-"), number, F.lit(".htm")))
+        .when(kind == "click", F.lit("/bundles/w7.min.css?ver=3"))
+        .when(kind == "purchase", F.concat(F.lit("/till/receipt?no="), number, F.lit("&f=a.jpg")))
+        .when(kind == "signup", F.lit("/members/join"))
+        .otherwise(F.lit("/pics/banner.PNG"))
     )
     return F.concat(base, F.when(event % 11 == 3, "#top").otherwise(""))
 
