@@ -13,11 +13,13 @@ windows of the plain lower-cased words are joined as well. Before the join, wind
 bitmap of the benchmark's hashes; its size is fixed, so a larger benchmark only lets more
 windows through to the join, which is exact.
 
-Edge cases: null or empty text, or one shorter than every window, has no findings; benchmark
-rows with null id or text are not sought, nor those of fewer than FEWEST words, which not_sought
-counts; an item shorter than a window is sought as a whole, one of fewer than SHORTEST template
-tokens word by word only; repeated rows are found alike, one finding for each key, text and item; a
-null key is carried along; an empty table gives an empty result; other columns are not read.
+Edge cases: a very long text is worked on alone and whole, some 80 bytes for each of its bytes;
+each pair of text and item is one finding, so ties do not arise; null or empty text, or one
+shorter than every window, has no findings; benchmark rows with null id or text are not sought,
+nor those of fewer than FEWEST words, which not_sought counts; an item shorter than a window is
+sought as a whole, one of fewer than SHORTEST template tokens word by word only; repeated rows
+are found alike, one finding for each key, text and item; a null key is carried along; an empty
+table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations

@@ -12,10 +12,11 @@ A sequence is known by its whole hash of 64 bits, and the entries grow with the
 MOST_ENTRIES of them the arrays are made on the driver and broadcast; beyond, ``langjoin`` makes
 the same model as tables, by joins, and scores distinct words by joins with them.
 
-Edge cases: a very long text is scored part by part, whole; a text that is null or has no letter gets ``und``, score 0 and is rejected; with
-no training rows every text does; rows whose text or language is null train nothing; equal
-cross-entropies go to the language that sorts first; equal rows get equal results; an empty
-table gives an empty result; other columns are not read.
+Edge cases: a very long text is scored part by part, whole; a text that is null or has no
+letter gets ``und``, score 0 and is rejected; with no training rows every text does; rows whose
+text or language is null train nothing; equal cross-entropies go to the language that sorts
+first; equal rows get equal results; an empty table gives an empty result; other columns are
+not read.
 """
 
 from __future__ import annotations

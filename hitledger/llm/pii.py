@@ -10,10 +10,11 @@ and their checks accept is always kept.
 Only built-in column expressions touch the rows; the driver sees a table of vote and feature
 patterns, whose size is bounded by the number of their combinations.
 
-Positions are code points from 0, ends exclusive. Edge cases: null text counts as empty and
-has no spans; kinds may overlap each other, matches of one kind don't; without candidates
-nothing is learned and no span is added; equal rows get equal results; a null key is carried
-along; an empty table gives an empty result; columns other than key and text are not read.
+Positions are code points from 0, ends exclusive. Edge cases: a very long text is searched whole; of overlapping spans of one kind the leftmost
+stays; null text counts as empty and has no spans; kinds may overlap each other, matches of one
+kind don't; without candidates nothing is learned and no span is added; equal rows get equal
+results; a null key is carried along; an empty table gives an empty result; columns other than
+key and text are not read.
 """
 
 from __future__ import annotations

@@ -7,11 +7,13 @@ the words next to it. It is trained from labelled findings.
 
 Only built-in column expressions and Spark's own forest touch the rows.
 
-Edge cases: null text counts as empty and has no findings, a null path as empty; a value that
-both patterns find is one finding; findings of repeated rows repeat; a null key is carried
-along; without both true and false labels nothing is learned, scores are null and every
-finding is kept; an empty table gives an empty result; columns other than key, text and path
-are not read.
+Edge cases: a very long text is searched whole, in time that grows with its length alone, and
+its row holds all its findings; of labelled findings with equal hashes the sample takes those
+whose value, neighbours, key and start sort first; null text counts as empty and has no
+findings, a null path as empty; a value that both patterns find is one finding; findings of
+repeated rows repeat; a null key is carried along; without both true and false labels nothing
+is learned, scores are null and every finding is kept; an empty table gives an empty result;
+columns other than key, text and path are not read.
 """
 
 from __future__ import annotations

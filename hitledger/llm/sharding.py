@@ -4,9 +4,10 @@ Every record draws one number per shard from its key and the shard's name and go
 shard of the best draw. Adding a shard adds one draw, so a record either stays or goes to the
 new shard. Only built-in column expressions are used.
 
-Edge cases: a null key counts as the text ``null``; null text has no bytes and size 1; equal
-rows go to the same shard and get slots of their own; an empty table gives an empty result;
-columns other than key and text are not read.
+Edge cases: a very long text is hashed whole where it is read; equal draws go to the smaller
+shard; a null key counts as the text ``null``; null text has no bytes and size 1; equal rows go
+to the same shard and get slots of their own; an empty table gives an empty result; columns
+other than key and text are not read.
 """
 
 from __future__ import annotations

@@ -7,13 +7,13 @@ reach. Second, the cutoff goes to all blocks; a vector can only reach it if one
 fragments reaches the cutoff's equal share, so each list gives its entries of that size.
 Third, the whole scores of those entries are resolved, and what reaches the cutoff is ranked.
 
-Vectors become whole numbers, floor(scale * x). Edge cases: vectors that are null, or hold a
-null or non-finite component, and rows with a null id take no part; a query is scored against
-vectors of its own length only; every row is a vector of its own, so of several rows with one id
-each is a candidate for the others, and each query among them gets its own ranks; a query
-without another vector of its length has no rows; equal scores go by the smaller id, and rows
-equal in both are alike; a score that needs more than 63 bits wraps as Spark's long arithmetic
-does; an empty table gives an empty result; other columns are not read.
+Vectors become whole numbers, floor(scale * x). Edge cases: vectors of any length are compared whole; vectors that are null, or hold a null or
+non-finite component, and rows with a null id take no part; a query is scored against vectors
+of its own length only; every row is a vector of its own, so of several rows with one id each
+is a candidate for the others, and each query among them gets its own ranks; a query without
+another vector of its length has no rows; equal scores go by the smaller id, and rows equal in
+both are alike; a score that needs more than 63 bits wraps as Spark's long arithmetic does; an
+empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations

@@ -87,4 +87,4 @@ def test_it_is_registered():
 
     named = entry.queries()
     assert {"pipeline", *queries()} <= set(named)
-    assert [name.split("_")[0] for name in queries()] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in queries()] == [f"op{n}" for n in range(1, 14)]

@@ -76,3 +76,43 @@ def test_edge_cases(spark):
     assert empty.collect() == []
     with pytest.raises(ValueError):
         tokencounts.count_section_tokens(df, RANKS, public_tokenizers.PATTERN, "middle")
+
+
+@pytest.mark.parametrize(("rule", "separator"), [("start", "\n"), ("end", " "), ("share", "")])
+def test_fields_of_a_row(spark, reference, rule, separator):
+    """Fields count what their characters have in the document as it is encoded whole."""
+    documents = spark.read.parquet(f"{compare.testdata('sf0.001')}/documents.parquet")
+    odd = [(None, "a", None, "", 1), (900, None, None, None, 2), (901, "", "x", "y z", None), (901, "", "x", "y z", None)]
+    rows = documents.unionByName(spark.createDataFrame(odd, documents.schema))
+    fields = ["lang", "text", "n_chars", "source"]
+    counted = tokencounts.count_field_tokens(rows, fields, RANKS, public_tokenizers.PATTERN, rule, separator)
+    got: dict = {}
+    for r in counted.collect():
+        got.setdefault(r["doc_id"], []).append((r["field"], r["first_char"], r["n_chars"], r["n_tokens"]))
+    for row in rows.distinct().collect():
+        parts = ["" if row[name] is None else str(row[name]) for name in fields]
+        edges, text = [], ""
+        for i, part in enumerate(parts):
+            begin = len(text)
+            text += part + (separator if i < len(parts) - 1 else "")
+            edges.append((begin, len(text)))
+        counts = [Fraction(0)] * len(fields)
+        for a, b in reference.encode(text, add_special_tokens=False).offsets:
+            for k, (low, high) in enumerate(edges):
+                if rule == "start":
+                    counts[k] += low <= a < high
+                elif rule == "end":
+                    counts[k] += low < b <= high
+                else:
+                    counts[k] += Fraction(max(0, min(b, high) - max(a, low)), b - a)
+        want = [(name, low, high - low) for name, (low, high) in zip(fields, edges)]
+        mine = got[row["doc_id"]][: len(fields)]
+        assert sorted(r[:3] for r in mine) == sorted(want)
+        by_field = {r[0]: r[3] for r in mine}
+        assert [by_field[name] for name in fields] == pytest.approx([float(n) for n in counts])
+    assert len(got[901]) == 2 * len(fields)
+    for bad in ([], ["text", "text"]):
+        with pytest.raises(ValueError):
+            tokencounts.count_field_tokens(rows, bad, RANKS, public_tokenizers.PATTERN)
+    nothing = tokencounts.count_field_tokens(rows.limit(0), fields, RANKS, public_tokenizers.PATTERN)
+    assert nothing.collect() == []
