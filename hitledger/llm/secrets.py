@@ -3,7 +3,8 @@
 Candidates are values given to a name like password or token, and long strings of the
 characters keys are made of. A forest of decision trees judges each by its length, its
 character transitions, how much of it dictionary words cover, the path the text came from and
-the words next to it. It is trained from labelled findings.
+the words next to it. It is trained from labelled findings. The dictionary is learned from the
+corpus: the words in most of its texts.
 
 Only built-in column expressions and Spark's own forest touch the rows.
 
@@ -54,12 +55,12 @@ _STANDIN = r"(?i)example|changeme|placeholder|your|dummy|sample|redacted|(.)\1{5
 _HASH_WORDS = r"(?i)\b(?:commit|sha-?[0-9]*|md5|checksum|digest|revision|blob|tree|integrity)\b[^a-z]*$"
 _SECRET_WORDS = rf"(?i)(?:{NAMES}|auth|login|bearer|key)[^\n]{{0,16}}$"
 _TEST_PATH = r"(?i)test|example|sample|fixture|mock|docs?\b|readme|spec"
-_COMMON_WORDS = (
-    "the and for that with this from have not are was will can all one you test user name data "
-    "file path code value index table count list item page size type time date info main home "
-    "link view image width height border color style class title content default config "
-    "password secret token key access public private example sample admin root change"
-).split()
+
+#: Words of the corpus that count as its dictionary: of those in DICTIONARY_DOCUMENTS texts or
+#: more the DICTIONARY_WORDS in most texts, those that sort first among equals.
+DICTIONARY_WORDS, DICTIONARY_DOCUMENTS = 4096, 3
+_WORD = "[a-z]{3,}"
+_PART = "[A-Z]?[a-z]+|[A-Z]+"
 
 
 def candidates(rows: DataFrame, key: str, text: str, path: str | None) -> DataFrame:
@@ -85,15 +86,30 @@ def _finding(kind: str, span: Column) -> Column:
     )
 
 
-def features() -> dict[str, Column]:
-    """What the forest sees of a finding, as numbers."""
+def dictionary(rows: DataFrame, text: str = "text") -> list[str]:
+    """The commonest words of all texts, by the number of texts that have them; a bounded list."""
+    words = F.array_distinct(F.regexp_extract_all(F.lower(text_or_empty(F.col(text))), F.lit(_WORD), F.lit(0)))
+    counted = rows.select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("texts"))
+    common = counted.where(F.col("texts") >= DICTIONARY_DOCUMENTS)
+    return sorted(row["word"] for row in common.orderBy(F.desc("texts"), "word").limit(DICTIONARY_WORDS).collect())
+
+
+def covered(value: Column, words: list[str]) -> Column:
+    """Characters of a value in runs of letters that are words of the dictionary."""
+    known = F.split(F.lit(" ".join(words)), " ")
+    parts = F.regexp_extract_all(value, F.lit(_PART), F.lit(0))
+    inside = F.filter(parts, lambda part: F.array_contains(known, F.lower(part)))
+    return F.aggregate(inside, F.lit(0), lambda total, part: total + F.length(part))
+
+
+def features(words: list[str]) -> dict[str, Column]:
+    """What the forest sees of a finding, as numbers; words are the dictionary."""
     value, before, behind = F.col("value"), F.col("before"), F.col("behind")
     size = F.length(value)
 
     def share(pattern: str) -> Column:
         return F.regexp_count(value, F.lit(pattern)) / size
 
-    words = "|".join(sorted(_COMMON_WORDS, key=len, reverse=True))
     return {
         "size": size.cast("double"),
         "digits": share("[0-9]"),
@@ -109,7 +125,7 @@ def features() -> dict[str, Column]:
         "repeats": share(r"(.)(?=\1)"),
         "steps": share("0(?=1)|1(?=2)|2(?=3)|3(?=4)|4(?=5)|5(?=6)|6(?=7)|7(?=8)|8(?=9)"),
         "hexadecimal": value.rlike("^[0-9a-fA-F]+$").cast("double"),
-        "dictionary": 1 - F.length(F.regexp_replace(value, f"(?i){words}", "")) / size,
+        "dictionary": covered(value, words) / size,
         "test_path": F.col("path").rlike(_TEST_PATH).cast("double"),
         "secret_word": before.rlike(_SECRET_WORDS).cast("double"),
         "hash_word": before.rlike(_HASH_WORDS).cast("double"),
@@ -137,7 +153,7 @@ def certain_label() -> Column:
 
 
 def _vectors(described: DataFrame) -> DataFrame:
-    names = list(features())
+    names = list(features([]))
     assembler = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep")
     return assembler.transform(described)
 
@@ -178,7 +194,7 @@ def scan_secrets(
     code points from 0, ends exclusive.
     """
     found = candidates(rows, key, text, path)
-    described = stored(found.withColumns(features()), "findings")
+    described = stored(found.withColumns(features(dictionary(rows, text))), "findings")
     if labels is None:
         labelled = described.withColumn("label", certain_label())
     else:

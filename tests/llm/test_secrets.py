@@ -108,3 +108,15 @@ def test_long_values_are_whole(spark):
     assert {r["doc_id"]: {(r["start"], r["end"], r["value_sha256"])} for r in got} == {
         **want, 9: hashed({(9, 1_000_009, "a1" * 500_000)}),
     }
+
+
+def test_the_dictionary_is_the_corpus_s_own(spark, monkeypatch):
+    texts = ["Alpha beta beta, gamma", "alpha BETA x1delta", "alpha beta", "alpha gamma delta", None, "", "gamma g4 al"]
+    df = spark.createDataFrame([(i, text, None, "k", "v", 1) for i, text in enumerate(texts)], SCHEMA)
+    assert secrets.dictionary(df) == ["alpha", "beta", "gamma"]
+    monkeypatch.setattr(secrets, "DICTIONARY_WORDS", 1)
+    assert secrets.dictionary(df) == ["alpha"] and secrets.dictionary(df.limit(0)) == []
+    values = spark.createDataFrame([("alphaBeta_7GAMMA-x",), ("9911",), ("ALPHAbeta",)], "value string")
+    got = [r[0] for r in values.select(secrets.covered(F.col("value"), ["alpha", "beta", "gamma"])).collect()]
+    assert got == [14, 0, 9]
+    assert [r[0] for r in values.select(secrets.covered(F.col("value"), [])).collect()] == [0, 0, 0]
