@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from hitledger.llm.tables import stored
+from hitledger.llm.tables import discard, stored
 
 #: Rounds grow with the logarithm of the longest path; a graph that needs more is an error.
 MOST_ROUNDS = 60
@@ -54,12 +54,15 @@ def components(edges: DataFrame) -> DataFrame:
     for _ in range(MOST_ROUNDS):
         if not state[0]:
             break
-        current = stored(_small_star(_large_star(current)), "edges")
+        superseded, current = current, stored(_small_star(_large_star(current)), "edges")
+        discard(superseded)
         previous, state = state, _state(current)
         if state == previous:
             break
     else:
         raise RuntimeError("components did not settle")
-    return current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
+    found = current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )
+    found.scratch = current.scratch  # whoever has used it may discard it
+    return found

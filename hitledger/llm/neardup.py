@@ -12,11 +12,12 @@ spanning forest of the candidate pairs, which is confirmed and merged into compo
 second proposes every remaining candidate pair between different components. Both run on
 blocks of a bucket, so that no task holds a whole large bucket.
 
-Edge cases: white space is that of ASCII, and only A to Z are lower-cased; a text with fewer
-words than a shingle is one shingle; text that is null or has no words has no shingles and is
-linked with nothing but rows of its id; a row with a null id is compared with nothing, has a
-null component and is kept; rows that share an id count as linked, whatever their texts; an
-empty table gives an empty result; other columns are not read.
+Edge cases: a very long text is worked on alone and whole, some 60 bytes for each of its bytes;
+the smallest id of a group wins ties; white space is that of ASCII, and only A to Z are lower-
+cased; a text with fewer words than a shingle is one shingle; text that is null or has no words
+has no shingles and is linked with nothing but rows of its id; a row with a null id is compared
+with nothing, has a null component and is kept; rows that share an id count as linked, whatever
+their texts; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hitledger.llm.components import components
-from hitledger.llm.tables import stored
+from hitledger.llm.tables import discard, stored
 from hitledger.llm.words import SPACES, chunks, mix, slices, split_words, windows
 
 BANDS, BAND_ROWS = 32, 4
@@ -204,19 +205,19 @@ def proposed_pairs(least: Fraction, forest: bool) -> Callable:
         )
         count = len(nodes)
         found_i, found_j = [], []
+        adjacent = np.zeros((count, count) if forest else (0, 0), dtype=bool)
         for at in range(0, count, SLICE):
             i = np.repeat(np.arange(at, min(at + SLICE, count)), count)
             j = np.tile(np.arange(count), min(SLICE, count - at))
             ahead = (j > i) & (labels[i] != labels[j])
             i, j = i[ahead], j[ahead]
             keep = sketches.may_link(i, j, least, floor)
-            found_i.append(i[keep])
-            found_j.append(j[keep])
-        i, j = np.concatenate(found_i), np.concatenate(found_j)
-        if forest and len(i) > 1:
-            adjacent = np.zeros((count, count), dtype=bool)
-            adjacent[i, j] = adjacent[j, i] = True
-            i, j = _forest(adjacent)
+            if forest:  # a bit for a pair; a block of copies has half a million of them
+                adjacent[i[keep], j[keep]] = adjacent[j[keep], i[keep]] = True
+            else:
+                found_i.append(i[keep].astype(np.int16))
+                found_j.append(j[keep].astype(np.int16))
+        i, j = _forest(adjacent) if forest else (np.concatenate(found_i), np.concatenate(found_j))
         return nodes[i], nodes[j]
 
     def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,9 +309,10 @@ def whole_sets(rows: DataFrame, nodes: DataFrame, words: int, key: str, text: st
     made = picked.join(nodes.select("id").distinct(), "id", "left_semi").mapInArrow(
         sets_of, "id long, set_key binary, shingles array<long>, bits binary"
     )
-    # other rows with the id of a class don't speak for it
+    # other rows with the id of a class don't speak for it; a class is named by its smallest id,
+    # so rows that are equal in both are of one class, and the join has put them together
     of_class = made.join(nodes.select("id", "set_key", "node"), ["id", "set_key"])
-    return of_class.select("node", "shingles", "bits").dropDuplicates(["node"])
+    return of_class.dropDuplicates(["id", "set_key"]).select("node", "shingles", "bits")
 
 
 def _links_of_ids(compared: DataFrame, classes: DataFrame) -> DataFrame:
@@ -440,14 +442,20 @@ def near_duplicates(
     first = stored(similar.unionByName(_links_of_ids(compared, classes)), "links")
     merged = components(first)
     rest = _confirmed(_propose(members, sketches, merged, least), sets, least)
-    final = components(stored(first.unionByName(rest), "links"))
+    links = stored(first.unionByName(rest), "links")
+    discard(merged)
+    final = components(links)
     ids = stored(final.join(classes.select("node", "id"), "node"), "joined")
     smallest = ids.groupBy("component").agg(F.min("id").alias("smallest"))
     joined = ids.join(smallest, "component").select("node", "smallest")
-    labels = classes.select("set_key", "node", "id").join(joined, "node", "left").select(
-        "set_key", F.coalesce("smallest", "id").alias("component")
+    labels = stored(
+        classes.select("set_key", "node", "id").join(joined, "node", "left").select(
+            "set_key", F.coalesce("smallest", "id").alias("component")
+        ),
+        "labels",
     )
-    return _with_components(digest, stored(labels, "labels"), key)
+    discard(classes, members, sets, first, links, ids, final)
+    return _with_components(digest, labels, key)
 
 
 def _with_components(digest: DataFrame, labels: DataFrame, key: str) -> DataFrame:

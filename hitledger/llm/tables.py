@@ -26,7 +26,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found.scratch = path
+    return found
+
+
+def discard(*frames: DataFrame) -> None:
+    """Remove what ``stored`` wrote, once everything made from it is stored itself."""
+    for frame in frames:
+        path = frame.sparkSession._jvm.org.apache.hadoop.fs.Path(frame.scratch)
+        system = path.getFileSystem(frame.sparkSession._jsc.hadoopConfiguration())
+        system.delete(path, True)
 
 
 def fold_of(key: Column, folds: int) -> Column:
