@@ -9,12 +9,14 @@ fourth masks personal data in place, and the fifth keeps every row.
 A document with a null id is compared with no other, and stays unless the first or third stage
 takes it out; null text is in no language, so the first stage takes it out. An empty table
 gives an empty result. Columns beyond those of documents are carried along up to the last
-stage.
+stage. Very long texts are worked on whole, one at a time. Where documents tie, the smallest id
+stays of a group of near duplicates, and the language that sorts first wins.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -24,6 +26,9 @@ from hitledger.llm.tables import read_table, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Rows that Spark hands to a Python worker at once: whole texts, so a few megabytes.
+BATCH_ROWS = "1000"
+
 PIECE_MODEL = "piece_bpe_32k.model"
 #: Columns of documents that the last stage carries along.
 CARRIED = ("lang", "source")
@@ -59,12 +64,23 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pieces.encode_texts(docs, public_tokenizers.path(PIECE_MODEL), keep=CARRIED)
 
 
+def in_small_batches(stage: Stage) -> Stage:
+    """The stage with batches of BATCH_ROWS, so that a worker's memory does not follow the rows."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("language_id", known_languages),
-    ("near_duplicates", one_of_each),
-    ("benchmark", without_benchmark),
-    ("personal_data", without_personal_data),
-    ("token_ids", token_ids),
+    ("language_id", in_small_batches(known_languages)),
+    ("near_duplicates", in_small_batches(one_of_each)),
+    ("benchmark", in_small_batches(without_benchmark)),
+    ("personal_data", in_small_batches(without_personal_data)),
+    ("token_ids", in_small_batches(token_ids)),
 ]
 
 
