@@ -38,7 +38,7 @@ UNDETERMINED = "und"
 ORDER = 5
 #: Entries of all orders and languages that the driver takes and broadcasts at most, some 60
 #: bytes each for the driver and 12 and 4 for each language for a worker.
-MOST_ENTRIES = 3_000_000
+MOST_ENTRIES = 2_000_000
 #: Chance of a character that training never saw, before discounts.
 UNSEEN_CHARACTER = 1e-4
 #: Characters after which a score counts as certain as it gets.
