@@ -58,3 +58,48 @@ def test_edge_cases(spark):
     nothing = quality.score_quality(df, marks.limit(0), F.lit(True)).collect()
     assert {(r["score"], r["predicted"]) for r in nothing} == {(0.5, 1)}
     assert quality.score_quality(df.limit(0), marks, F.lit(True)).collect() == []
+
+
+def labelled(spark, count):
+    """Features that say little and labels, of which the one with the last hash alone is bad."""
+    noise = [(F.pmod(F.xxhash64("id", F.lit(name)), F.lit(1000)) / 1000).alias(name) for name in quality.FEATURES]
+    features = spark.range(count).select(F.col("id").alias("key"), *noise)
+    last = features.orderBy(F.xxhash64("key").desc()).first()["key"]
+    features = features.withColumn("upper", F.when(F.col("key") == last, 50.0).otherwise(F.col("upper")))
+    marks = features.select(F.col("key").alias("doc_id"), (F.col("key") != last).cast("int").alias("quality"))
+    return features, marks
+
+
+def test_all_labels_are_learned_from(spark):
+    features, marks = labelled(spark, 20_100)
+    ranking = quality.learn(features, marks, F.lit(True))
+    assert ranking.learned and ranking.weight[quality.FEATURES.index("upper")] < -1
+    means = features.agg(*[F.avg(name) for name in quality.FEATURES]).first()
+    spreads = features.agg(*[F.stddev_pop(name) for name in quality.FEATURES]).first()
+    assert np.allclose(ranking.centre, means, rtol=1e-9) and np.allclose(ranking.scale, spreads, rtol=1e-9)
+
+
+def test_parts_learn_what_one_part_learns(spark, monkeypatch):
+    chance = np.random.default_rng(2)
+    values = chance.normal(size=(3000, len(quality.FEATURES)))
+    good = values[:, 2] - values[:, 5] + chance.normal(scale=0.5, size=3000) > -2
+    rows = [(i, *map(float, row)) for i, row in enumerate(values)]
+    features = spark.createDataFrame(rows, ["key", *quality.FEATURES]).repartition(5)
+    marks = spark.createDataFrame([(i, int(x)) for i, x in enumerate(good)], ["doc_id", "quality"])
+    whole = quality.learn(features, marks, F.lit(True))
+    plain = quality.bradley_terry(values, good)
+    monkeypatch.setattr(quality, "PART_ROWS", 100)
+    parts = quality.learn(features, marks, F.lit(True))
+    again = quality.learn(features.repartition(3), marks, F.lit(True))
+    assert (parts.weight == again.weight).all() and parts.cut == again.cut
+    for ranking in (whole, parts):
+        assert np.corrcoef(ranking.strength(values), plain.strength(values))[0, 1] > 0.99
+        assert (ranking.strength(values) < ranking.cut).sum() == (~good).sum()
+
+
+def test_cut_among_equal_strengths(spark):
+    bad, good = "BUY!! NOW!! " * 20, "A plain sentence about nothing, and then one more. " * 5
+    df = spark.createDataFrame([(i, bad if i % 3 else good, "x", 1) for i in range(30)], SCHEMA)
+    marks = spark.createDataFrame([(i, int(i % 3 == 0 or i < 15)) for i in range(30)], "doc_id long, quality int")
+    got = {r["doc_id"]: r["predicted"] for r in quality.score_quality(df, marks, F.lit(True)).collect()}
+    assert set(got.values()) == {1}  # the quantile falls among the copies of the bad text
