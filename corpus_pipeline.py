@@ -26,8 +26,8 @@ from hitledger.llm.tables import read_table, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-#: Rows that Spark hands to a Python worker at once: whole texts, so a few megabytes.
-BATCH_ROWS = "1000"
+#: Rows that Spark hands to a Python worker at once: whole texts, so about a megabyte.
+BATCH_ROWS = "250"
 
 PIECE_MODEL = "piece_bpe_32k.model"
 #: Columns of documents that the last stage carries along.

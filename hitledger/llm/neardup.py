@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hitledger.llm.components import components
-from hitledger.llm.tables import discard, stored
+from hitledger.llm.tables import discard, perhaps_among, stored, surely_apart
 from hitledger.llm.words import SPACES, chunks, mix, slices, split_words, windows
 
 BANDS, BAND_ROWS = 32, 4
@@ -45,6 +45,8 @@ SLACK = 6.0
 BITMAP_LOAD = 8
 #: Members of a bucket that are compared as one block, and rows of a block at once.
 BLOCK, SLICE = 1024, 64
+#: Words of 64 bits of the bitmaps that are compared at once.
+PAIR_WORDS = 1 << 18
 #: Numbers that are hashed at once for the minima of one text.
 PART = 2048
 
@@ -156,8 +158,8 @@ class Sketches:
             used, where = np.unique(np.concatenate((i[part], j[part])), return_inverse=True)
             bits = self.of_width(used, width)
             left, right = where[: len(part)], where[len(part) :]
-            for s in range(0, len(part), max(1, (1 << 20) // int(width))):
-                rows = slice(s, s + max(1, (1 << 20) // int(width)))
+            for s in range(0, len(part), max(1, PAIR_WORDS // int(width))):
+                rows = slice(s, s + max(1, PAIR_WORDS // int(width)))
                 a, b = bits[left[rows]], bits[right[rows]]
                 # a bit of one set alone shows a shingle of that set alone
                 only_a = np.bitwise_count(a & ~b).sum(axis=1, dtype=np.int64)
@@ -305,7 +307,10 @@ def whole_sets(rows: DataFrame, nodes: DataFrame, words: int, key: str, text: st
                 ["id", "set_key", "shingles", "bits"],
             )
 
-    picked = rows.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string"))
+    picked = rows.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
+    # most texts are candidates of nothing, and stay where they are
+    by_id = F.xxhash64("id")
+    picked = perhaps_among(picked, by_id, nodes, by_id)
     made = picked.join(nodes.select("id").distinct(), "id", "left_semi").mapInArrow(
         sets_of, "id long, set_key binary, shingles array<long>, bits binary"
     )
@@ -435,7 +440,9 @@ def near_duplicates(
     )
     members = stored(keyed.join(buckets, "key"), "members")
     nodes = members.select("node").distinct()
-    candidates = classes.join(nodes, "node", "left_semi").select("id", "set_key", "node", "n", "fields")
+    candidates = stored(
+        classes.join(nodes, "node", "left_semi").select("id", "set_key", "node", "n", "fields"), "candidates"
+    )
     sets = stored(whole_sets(rows, candidates, words, key, text), "sets")
     sketches = candidates.select("node", "n", "fields").join(sets.select("node", "bits"), "node")
     similar = _confirmed(_propose(members, sketches, None, least), sets, least)
@@ -454,7 +461,7 @@ def near_duplicates(
         ),
         "labels",
     )
-    discard(classes, members, sets, first, links, ids, final)
+    discard(classes, members, candidates, sets, first, links, ids, final)
     return _with_components(digest, labels, key)
 
 
@@ -494,18 +501,20 @@ def without_copies(
 
     The row with the group's smallest id stays; of several with that id, the one with the
     smallest hash. Rows of one id are in one group, so the id alone tells whether they stay.
-    Rows with a null id all stay.
+    Rows with a null id all stay. What stays without a choice is not moved.
     """
     marked = near_duplicates(rows, words, similarity, key, text).where(F.col(key).isNotNull())
-    held = stored(marked.where("kept").groupBy(key).agg(F.count("*").alias("copies")), "kept")
-    alone = rows.join(held.where("copies = 1").select(key), key, "left_semi")
-    kept = alone.unionByName(rows.where(F.col(key).isNull()))
-    repeated = held.where("copies > 1").select(key)
+    counted = marked.groupBy(key).agg(F.bool_and("kept").alias("kept"), F.count("*").alias("copies"))
+    chosen = stored(counted.where("NOT kept OR copies > 1"), "chosen")
+    by_id = F.xxhash64(F.col(key).cast("long"))
+    apart, others = surely_apart(rows, by_id, chosen, by_id)
+    kept = apart.unionByName(others.join(chosen.select(key), key, "left_anti"))
+    repeated = chosen.where("kept").select(key)
     if repeated.isEmpty():
         return kept.select(rows.columns)
     whole = F.struct(*[F.col(name) for name in rows.columns])
     one = (
-        rows.join(repeated, key, "left_semi")
+        others.join(repeated, key, "left_semi")
         .groupBy(F.col(key).alias("group"))
         .agg(F.min_by(whole, F.xxhash64(whole)).alias("row"))
         .select("row.*")

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 BASE = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
 #: Bytes of text that are worked on together; a longer text is worked on alone.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 #: Bytes of text of the rows that a worker takes out of a batch at once.
 SLICE_BYTES = 4 << 20
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from hitledger.llm import neardup
+from hitledger.llm import neardup, tables
 from hitledger.llm.components import components
 from tests import compare
 from tests.llm import plain
@@ -119,3 +120,37 @@ def test_rows_that_share_an_id_but_not_a_text(spark):
         assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
         left = [r["doc_id"] for r in neardup.without_copies(df).collect()]
         assert sorted(left, key=lambda key: key or 0) == [None, 5, 13, 16, 21, 30]
+
+
+def test_few_texts_are_moved(spark, monkeypatch):
+    moved = []
+
+    def noting(split):
+        def noted(*args):
+            found = split(*args)
+            moved.append((found[1] if isinstance(found, tuple) else found).count())
+            return found
+
+        return noted
+
+    for name in ("perhaps_among", "surely_apart"):
+        monkeypatch.setattr(neardup, name, noting(getattr(neardup, name)))
+    texts = [*cloud(1, 6, 2), *[cloud(100 + i, 1, 1)[0] for i in range(1000)]]
+    df = spark.createDataFrame([(i, text, "x", 1) for i, text in enumerate(texts)], SCHEMA)
+    left = neardup.without_copies(df.unionByName(df.where("doc_id = 900")))
+    assert sorted(r["doc_id"] for r in left.collect()) == [0, *range(6, 1006)]
+    assert len(moved) == 2 and all(0 < rows < 40 for rows in moved)
+
+
+@pytest.mark.parametrize("most", [1 << 27, 1 << 15])
+def test_sieve_loses_no_row(spark, monkeypatch, most):
+    monkeypatch.setattr(tables, "SIEVE_BITS", most)
+    rows = spark.range(-20_000, 20_000).withColumn("id", F.when(F.col("id") != 5, F.col("id")))
+    sought, by_id = rows.where("id % 4 = 0 or id is null"), F.xxhash64("id")
+    apart, others = tables.surely_apart(rows, by_id, sought, by_id)
+    assert apart.columns == others.columns == rows.columns
+    assert apart.where("id % 4 = 0 or id is null").isEmpty()
+    assert apart.count() + others.count() == 40_000
+    assert others.count() < (12_000 if most > 1 << 15 else 20_000)
+    assert tables.perhaps_among(rows, by_id, sought, by_id).count() == others.count()
+    assert tables.perhaps_among(rows, by_id, sought.limit(0), by_id).isEmpty()
